@@ -16,7 +16,13 @@ def utc_timestamp(text: Column) -> Column:
 
 
 def with_event_time(activity: DataFrame) -> DataFrame:
-    """Add ``event_ts``, ``date`` and ``hour``; all NULL for an unusable time."""
+    """Add ``event_ts``, ``date`` and ``hour``; all NULL for an unusable time.
+
+    A frame that already has them is returned as it is, so a job can parse the
+    time once and keep it.
+    """
+    if {"event_ts", "date", "hour"} <= set(activity.columns):
+        return activity
     return activity.withColumn("event_ts", utc_timestamp(F.col("created_at"))).withColumns(
         {"date": F.to_date("event_ts"), "hour": F.hour("event_ts")}
     )
@@ -27,7 +33,9 @@ def with_repo_columns(activity: DataFrame) -> DataFrame:
 
     A name without a slash has a NULL ``repo_name``; further parts are ignored.
     """
-    parts = F.split("repo.name", "/")
-    return activity.withColumns(
-        {"repo_author": F.get(parts, F.lit(0)), "repo_name": F.get(parts, F.lit(1))}
+    parts = F.col("_repo_parts")
+    return (
+        activity.withColumn("_repo_parts", F.split("repo.name", "/"))
+        .withColumns({"repo_author": F.get(parts, F.lit(0)), "repo_name": F.get(parts, F.lit(1))})
+        .drop("_repo_parts")
     )

@@ -8,7 +8,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.functions.columns import utc_timestamp
+from eventloom.functions.columns import with_event_time
 from eventloom.operators import commits as commit_ops
 from eventloom.operators import members as member_ops
 from eventloom.operators import owners as owner_ops
@@ -47,18 +47,18 @@ def run_days(
 ) -> RunSummary:
     """Build facts from the files of a range of days, parsing each file once.
 
-    The parsed columns are persisted for the builders; blocks lost with an
-    executor are parsed again from their file. A single day is replaced as a
+    The parsed columns, with the time already split up, are persisted for the
+    builders; blocks lost with an executor are parsed again from their file. A single day is replaced as a
     whole. A longer range replaces the (source_date, date) partitions it
     produces, which is the same unless events were withdrawn from the files.
     """
     facts = tuple(facts)
     activity = read_activity(spark, in_root, first_day, last_day, input_schema(facts))
-    activity = activity.persist(StorageLevel.MEMORY_AND_DISK)
+    activity = with_event_time(activity).drop("created_at").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         seen = activity.agg(
             F.count(F.lit(1)).alias("rows_in"),
-            F.count_if(utc_timestamp(F.col("created_at")).isNull()).alias("rejected"),
+            F.count_if(F.col("event_ts").isNull()).alias("rejected"),
         ).first()
         for name in facts:
             rows = BUILDERS[name](activity, carry=(SOURCE_DATE,))

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from eventloom.functions.columns import utc_timestamp, with_repo_columns
+from eventloom.functions.columns import utc_timestamp, with_event_time, with_repo_columns
 from eventloom.operators.facts import BUILDERS
 from eventloom.schemas import FACTS
 from eventloom.session import checkpoint_location
@@ -30,7 +30,7 @@ def stream_facts(
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        batch = with_event_time(batch).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             for name in facts:
                 write_batch(BUILDERS[name](batch), out_root, name, batch_id)
