@@ -24,14 +24,13 @@ def get_session(app_name: str = "eventloom", master: str | None = None, **conf)
     return builder.getOrCreate()
 
 
-def checkpoint_location(spark: SparkSession, name: str, location: str | None = None) -> str:
-    """Where the stream ``name`` keeps its progress.
+def checkpoint_location(spark: SparkSession, name: str, fallback: str | None = None) -> str:
+    """The folder ``name`` for a stream's progress.
 
-    The shared folder the cluster names in ``spark.checkpoint.dir`` wins over
-    ``location``, which serves sessions that name none, such as tests.
+    It lies in the shared folder the cluster names in ``spark.checkpoint.dir``;
+    ``fallback`` serves sessions that name none, such as local ones.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    root = shared or location
+    root = spark.conf.get("spark.checkpoint.dir", None) or fallback
     if not root:
         raise ValueError("set spark.checkpoint.dir or pass a checkpoint location")
     return f"{root.rstrip('/')}/{name}"

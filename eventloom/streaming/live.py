@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,7 +29,11 @@ def stream_facts(
     number and replaces itself when repeated after a failure, so nothing is
     doubled or lost, however late it arrives. ``repos`` rows are rolled up per
     batch: combine them with ``merge_repos`` where an hour may span batches.
+
+    Progress belongs to ``out_root``: each output has a folder of its own in
+    the cluster's checkpoint folder, or in ``checkpoint`` if there is none.
     """
+    progress = f"facts-{hashlib.sha256(out_root.rstrip('/').encode()).hexdigest()[:16]}"
 
     def store(batch: DataFrame, batch_id: int) -> None:
         batch = with_event_time(batch).persist(StorageLevel.MEMORY_AND_DISK)
@@ -39,7 +45,9 @@ def stream_facts(
 
     return (
         activity.writeStream.foreachBatch(store)
-        .option("checkpointLocation", checkpoint_location(activity.sparkSession, "facts", checkpoint))
+        .option(
+            "checkpointLocation", checkpoint_location(activity.sparkSession, progress, checkpoint)
+        )
         .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
