@@ -11,14 +11,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventloom.operators import commits, facts, listings, members, owners, profile, rollups
-from eventloom.sources.fixture import activity_from_events
+from eventloom.sources.fixture import read_events_activity
 
 TOP = 100
 OWNER = "owner7"
 
 
 def _activity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return activity_from_events(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    return read_events_activity(spark, sf_dir)
 
 
 def _on_activity(query: Callable[[DataFrame], DataFrame]):

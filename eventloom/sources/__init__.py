@@ -1,9 +1,10 @@
 from eventloom.sources.facts import create_fact_table, read_fact, read_jdbc
-from eventloom.sources.fixture import activity_from_events
+from eventloom.sources.fixture import activity_from_events, read_events_activity
 from eventloom.sources.raw import read_activity, read_latest_hours, stream_activity
 
 __all__ = [
     "activity_from_events",
+    "read_events_activity",
     "create_fact_table",
     "read_activity",
     "read_fact",

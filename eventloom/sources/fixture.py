@@ -6,75 +6,63 @@ repeat them on the flat table.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
+_EVENTS = (
+    "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
+)
+_IS_PUSH = "event_type IN ('click', 'purchase')"
+_IS_MEMBER = "event_type = 'signup'"
 
-def activity_from_events(events: DataFrame) -> DataFrame:
-    e, u = F.col("event_id"), F.col("user_id")
-    kind = F.col("event_type")
-    is_push = kind.isin("click", "purchase")
-    is_member = kind == "signup"
 
-    event_name = (
-        F.when(is_push, "PushEvent")
-        .when(is_member, "MemberEvent")
-        .when(kind == "view", "WatchEvent")
-        .when(kind == "error", "IssuesEvent")
-    )
-    created_at = F.concat(
-        F.substring(F.replace(F.col("ts").cast("string"), F.lit(" "), F.lit("T")), 1, 19),
-        F.lit("Z"),
-    )
+def _commit(i: int) -> str:
+    name = f"concat('dev', (user_id * 7 + event_id + {i * 13}) % 1000)"
+    return f"named_struct('author', named_struct('name', {name}))"
+
 
-    org_no = e % 7
-    org = F.when(
-        e % 3 != 0,
-        F.struct(org_no.alias("id"), F.concat(F.lit("org"), org_no).alias("login")),
-    )
+_ACTIVITY = {
+    "id": "CAST(event_id AS STRING)",
+    "type": f"""
+        CASE WHEN {_IS_PUSH} THEN 'PushEvent'
+             WHEN {_IS_MEMBER} THEN 'MemberEvent'
+             WHEN event_type = 'view' THEN 'WatchEvent'
+             WHEN event_type = 'error' THEN 'IssuesEvent' END""",
+    # From text: date_format would pass through the session time zone.
+    "created_at": "concat(substring(replace(CAST(ts AS STRING), ' ', 'T'), 1, 19), 'Z')",
+    "actor": """
+        named_struct('id', user_id,
+                     'login', concat('u', user_id),
+                     'display_login', concat('u', user_id))""",
+    "org": """
+        CASE WHEN event_id % 3 <> 0
+             THEN named_struct('id', event_id % 7, 'login', concat('org', event_id % 7)) END""",
+    "repo": """
+        named_struct(
+            'id', (event_id div 2) % 185,
+            'name', CASE
+                WHEN event_id % 97 = 0 THEN 'noslash'
+                WHEN event_id % 10 = 0 THEN 'owner0/repo0'
+                WHEN (event_id div 4) % 37 < 5
+                    THEN concat('owner', (event_id div 4) % 37, '/repo0')
+                ELSE concat('owner', (event_id div 4) % 37, '/repo', (event_id div 2) % 5) END)""",
+    "payload": f"""
+        named_struct(
+            'action', CASE WHEN {_IS_MEMBER} THEN if(event_id % 6 = 0, 'removed', 'added') END,
+            'member', CASE WHEN {_IS_MEMBER} THEN named_struct(
+                'id', user_id, 'login', concat('m', user_id), 'type', 'User') END,
+            'commits', CASE WHEN {_IS_PUSH} THEN
+                slice(array({_commit(0)}, {_commit(1)}, {_commit(2)}),
+                      1, CAST(event_id % 4 AS INT)) END,
+            'ref', CAST(NULL AS STRING),
+            'ref_type', CAST(NULL AS STRING),
+            'review', CAST(NULL AS STRING))""",
+}
 
-    half, owner_no = F.expr("event_id div 2"), F.expr("(event_id div 4) % 37")
-    owner = F.concat(F.lit("owner"), owner_no)
-    repo_name = (
-        F.when(e % 97 == 0, "noslash")
-        .when(e % 10 == 0, "owner0/repo0")
-        .when(owner_no < 5, F.concat(owner, F.lit("/repo0")))
-        .otherwise(F.concat(owner, F.lit("/repo"), half % 5))
-    )
 
-    def commit(i):
-        return F.struct(
-            F.struct(F.concat(F.lit("dev"), (u * 7 + e + i * 13) % 1000).alias("name")).alias(
-                "author"
-            )
-        )
+def activity_from_events(events: DataFrame) -> DataFrame:
+    return events.selectExpr(*[f"{sql} AS {name}" for name, sql in _ACTIVITY.items()])
 
-    numbers = F.array(*[F.lit(i) for i in range(3)])
-    commits = F.transform(F.slice(numbers, F.lit(1), (e % 4).cast("int")), commit)
-    user_login = F.concat(F.lit("u"), u)
 
-    return events.select(
-        e.cast("string").alias("id"),
-        event_name.alias("type"),
-        created_at.alias("created_at"),
-        F.struct(
-            u.alias("id"), user_login.alias("login"), user_login.alias("display_login")
-        ).alias("actor"),
-        org.alias("org"),
-        F.struct((half % 185).alias("id"), repo_name.alias("name")).alias("repo"),
-        F.struct(
-            F.when(is_member, F.when(e % 6 == 0, "removed").otherwise("added")).alias("action"),
-            F.when(
-                is_member,
-                F.struct(
-                    u.alias("id"),
-                    F.concat(F.lit("m"), u).alias("login"),
-                    F.lit("User").alias("type"),
-                ),
-            ).alias("member"),
-            F.when(is_push, commits).alias("commits"),
-            F.lit(None).cast("string").alias("ref"),
-            F.lit(None).cast("string").alias("ref_type"),
-            F.lit(None).cast("string").alias("review"),
-        ).alias("payload"),
-    )
+def read_events_activity(spark: SparkSession, folder: str) -> DataFrame:
+    """Activity from ``events.parquet``; the stated schema saves a look at its footers."""
+    return activity_from_events(spark.read.schema(_EVENTS).parquet(f"{folder}/events.parquet"))
