@@ -92,16 +92,22 @@ def running_commits_per_day(commits: DataFrame) -> DataFrame:
 def idle_spans(commits: DataFrame) -> DataFrame:
     """Per author, the runs of days without a commit, first and last day of each.
 
-    The calendar runs from the first to the last commit day of all authors.
-    The window sees at most one row per author and day.
+    The calendar runs from the first to the last commit day of all authors,
+    commits without an author included. The window sees at most one row per
+    author and day.
+
+    The calendar is read off the same distinct author-days as the spans. Its
+    count, which depends on their being distinct, keeps the optimizer from
+    going back to the commits for it: both sides then share one shuffle.
     """
-    first_day = commits.agg(F.min("date")).scalar()
-    last_day = commits.agg(F.max("date")).scalar()
-    active = (
-        commits.where(F.col("author_name").isNotNull() & F.col("date").isNotNull())
-        .select("author_name", "date")
-        .distinct()
-    )
+    active = commits.where(F.col("date").isNotNull()).select("author_name", "date").distinct()
+    calendar = active.agg(
+        F.min("date").alias("first_day"),
+        F.max("date").alias("last_day"),
+        F.count(F.lit(1)).alias("author_days"),
+    ).where("author_days > 0")
+    first_day = calendar.select("first_day").scalar()
+    last_day = calendar.select("last_day").scalar()
     by_day = Window.partitionBy("author_name").orderBy("date")
     neighbours = active.withColumns(
         {"previous": F.lag("date").over(by_day), "next": F.lead("date").over(by_day)}
@@ -115,7 +121,8 @@ def idle_spans(commits: DataFrame) -> DataFrame:
     )
     after_last = run(F.date_add("date", 1), last_day)
     runs = F.when(F.col("next").isNull(), F.array(before, after_last)).otherwise(F.array(before))
-    return neighbours.select("author_name", F.inline(runs)).where("idle_from <= idle_to")
+    known = F.when(F.col("author_name").isNotNull(), runs)
+    return neighbours.select("author_name", F.inline(known)).where("idle_from <= idle_to")
 
 
 def _days_of(spans: DataFrame) -> DataFrame:

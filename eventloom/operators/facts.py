@@ -2,6 +2,10 @@
 
 Events without a usable time have no day and enter no fact; ``rejects`` holds
 them. ``carry`` names extra columns to keep, such as ``source_date``.
+
+Each builder picks its nested fields before it adds the time: the time is used
+more than once, so Spark keeps it in a projection of its own, and struct columns
+passing through that projection would be read from Parquet as a whole.
 """
 
 from __future__ import annotations
@@ -20,8 +24,14 @@ def is_member_added() -> Column:
     return (F.col("type") == "MemberEvent") & (F.col("payload.action") == "added")
 
 
-def _timed(activity: DataFrame) -> DataFrame:
-    return with_event_time(activity).where(F.col("event_ts").isNotNull())
+def _timed(events: DataFrame) -> DataFrame:
+    return with_event_time(events).where(F.col("event_ts").isNotNull())
+
+
+def _time_columns(activity: DataFrame) -> list[str]:
+    """What ``with_event_time`` needs of a raw frame, or made of it before."""
+    made = [c for c in ("event_ts", "date", "hour") if c in activity.columns]
+    return made or ["created_at"]
 
 
 def rejects(activity: DataFrame) -> DataFrame:
@@ -31,10 +41,9 @@ def rejects(activity: DataFrame) -> DataFrame:
 
 def build_repos(activity: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     """Events per (date, hour, repository)."""
-    keys = [*carry, "date", "hour", "repo_author", "repo_name"]
     return (
-        with_repo_columns(_timed(activity))
-        .groupBy(*keys)
+        _timed(with_repo_columns(activity))
+        .groupBy(*carry, "date", "hour", "repo_author", "repo_name")
         .agg(F.count(F.lit(1)).alias("total_events"))
     )
 
@@ -52,20 +61,24 @@ def merge_repos(parts: DataFrame) -> DataFrame:
 
 def build_commits(activity: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     """One row per commit of a push; the time is that of the push."""
-    return _timed(activity.where(is_push())).select(
+    pushes = activity.where(is_push()).select(
+        *carry,
+        *_time_columns(activity),
+        F.col("payload.commits.author.name").alias("author_names"),
+    )
+    return _timed(pushes).select(
         *carry,
         "date",
         F.col("event_ts").alias("created_at"),
-        F.explode("payload.commits.author.name").alias("author_name"),
+        F.explode("author_names").alias("author_name"),
     )
 
 
 def build_members(activity: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     """One row per member added to a repository."""
-    return with_repo_columns(_timed(activity.where(is_member_added()))).select(
+    added = with_repo_columns(activity.where(is_member_added())).select(
         *carry,
-        "date",
-        F.col("event_ts").alias("created_at"),
+        *_time_columns(activity),
         F.col("payload.member.login").alias("member_login"),
         F.col("payload.member.type").alias("member_type"),
         F.col("org.login").alias("org_login"),
@@ -74,6 +87,18 @@ def build_members(activity: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame
         "repo_name",
         "repo_author",
     )
+    return _timed(added).select(
+        *carry,
+        "date",
+        F.col("event_ts").alias("created_at"),
+        "member_login",
+        "member_type",
+        "org_login",
+        "actor_login",
+        "repo_name_full",
+        "repo_name",
+        "repo_author",
+    )
 
 
 BUILDERS = {"repos": build_repos, "commits": build_commits, "members": build_members}
@@ -85,16 +110,22 @@ def reduction_ratio(activity: DataFrame) -> DataFrame:
     Events are grouped as for ``repos``, so each group is one row of that fact
     and carries its events' shares of the other two.
     """
+    events = with_repo_columns(activity).select(
+        *_time_columns(activity),
+        "repo_author",
+        "repo_name",
+        F.when(is_push(), F.greatest(F.size("payload.commits"), F.lit(0))).alias("commits"),
+        is_member_added().alias("added"),
+    )
     timed = F.col("event_ts").isNotNull()
-    pushed = F.when(timed & is_push(), F.greatest(F.size("payload.commits"), F.lit(0)))
     groups = (
-        with_repo_columns(with_event_time(activity))
+        with_event_time(events)
         .groupBy("date", "hour", "repo_author", "repo_name")
         .agg(
             F.count(F.lit(1)).alias("events"),
             F.max(timed).alias("timed"),
-            F.sum(pushed).alias("commits"),
-            F.count_if(timed & is_member_added()).alias("members"),
+            F.sum(F.when(timed, F.col("commits"))).alias("commits"),
+            F.count_if(timed & F.col("added")).alias("members"),
         )
     )
     totals = groups.agg(

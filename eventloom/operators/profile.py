@@ -42,12 +42,22 @@ def missing_hours(activity: DataFrame) -> DataFrame:
     """Hours without events from the first to the last day seen.
 
     ``file_name`` is the hourly file to fetch again. Both sides of the
-    anti-join are as long as the calendar.
+    anti-join are as long as the calendar, and both come from the same shuffle:
+    the count keeps the calendar from being read off the activity once more.
     """
-    seen = with_event_time(activity).where("date IS NOT NULL").select("date", "hour").distinct()
-    days = seen.agg(F.min("date").alias("first_day"), F.max("date").alias("last_day"))
+    seen = (
+        with_event_time(activity)
+        .where("date IS NOT NULL AND hour IS NOT NULL")
+        .select("date", "hour")
+        .distinct()
+    )
+    days = seen.agg(
+        F.min("date").alias("first_day"),
+        F.max("date").alias("last_day"),
+        F.count(F.lit(1)).alias("hours_seen"),
+    )
     hours = (
-        days.where("first_day IS NOT NULL")
+        days.where("hours_seen > 0")
         .select(F.explode(F.sequence("first_day", "last_day")).alias("date"))
         .select("date", F.explode(F.sequence(F.lit(0), F.lit(23))).alias("hour"))
     )

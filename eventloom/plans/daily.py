@@ -61,11 +61,8 @@ def run_days(
             F.count_if(F.col("event_ts").isNull()).alias("rejected"),
         ).first()
         for name in facts:
-            rows = BUILDERS[name](activity, carry=(SOURCE_DATE,))
-            if first_day == last_day:
-                write_fact(rows, out_root, name, day=first_day)
-            else:
-                write_fact(_by_partition(rows) if name == "repos" else rows, out_root, name)
+            rows = _by_partition(BUILDERS[name](activity, carry=(SOURCE_DATE,)))
+            write_fact(rows, out_root, name, day=first_day if first_day == last_day else None)
     finally:
         activity.unpersist()
     written = {name: _stored_rows(spark, out_root, name, first_day, last_day) for name in facts}
@@ -73,8 +70,8 @@ def run_days(
 
 
 def _by_partition(rows: DataFrame) -> DataFrame:
-    """Bring rows of a storage partition together, so that a rollup's hash
-    partitions do not each write a file to every day. Large days are split."""
+    """Bring rows of a storage partition together: otherwise each task writes a
+    small file to every day it has rows of. Large days are split again."""
     return rows.hint("rebalance", SOURCE_DATE, "date")
 
 
