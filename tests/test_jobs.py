@@ -1,0 +1,52 @@
+"""Command line, JDBC options and session settings."""
+
+from __future__ import annotations
+
+import uuid
+
+import pytest
+
+from eventloom import __main__ as cli
+from eventloom.functions import day_names
+from eventloom.sinks import write_jdbc
+from eventloom.sources import read_fact, read_jdbc
+from tests.test_files import land, landed, push  # noqa: F401
+
+
+def test_command_line_runs_the_jobs(spark, landed, tmp_path, capsys, monkeypatch):  # noqa: F811
+    monkeypatch.setattr(cli, "get_session", lambda name: spark)
+    facts_root = str(tmp_path / "facts")
+    cli.main(["extract", landed, facts_root, "2024-01-01", "--until", "2024-01-03"])
+    assert "11 events, 2 rejected" in capsys.readouterr().out
+    assert read_fact(spark, facts_root, "commits").count() == 8
+    cli.main(["metrics", facts_root, str(tmp_path / "csv"), "2024-01-03", "--from", "2024-01-01"])
+    assert len(capsys.readouterr().out.splitlines()) == 4
+    streamed = str(tmp_path / f"streamed-{uuid.uuid4().hex}")
+    cli.main(["follow", landed, streamed, "--checkpoint", str(tmp_path / "progress"), "--facts", "commits"])
+    assert read_fact(spark, streamed, "commits").count() == 8
+
+
+def test_unknown_arguments_are_refused(landed):  # noqa: F811
+    with pytest.raises(SystemExit):
+        cli.main(["extract", landed, "out", "2024-01-01", "--facts", "stars"])
+    with pytest.raises(ValueError):
+        day_names("2024-01-02", "2024-01-01")
+
+
+class Recorder:
+    """Stands in for a reader or writer: no database is started for a test."""
+
+    def jdbc(self, *args, **kwargs):
+        self.call = (args, kwargs)
+        return "frame"
+
+
+def test_jdbc_passes_credentials_and_partitioning_through():
+    out = Recorder()
+    write_jdbc(type("Rows", (), {"write": out}), "jdbc:x", "facts.repos", {"user": "u"})
+    assert out.call == (("jdbc:x", "facts.repos"), {"mode": "append", "properties": {"user": "u"}})
+    source = Recorder()
+    session = type("Session", (), {"read": source})
+    bounds = {"column": "hour", "lowerBound": 0, "upperBound": 24, "numPartitions": 8}
+    assert read_jdbc(session, "jdbc:x", "facts.repos", {"user": "u"}, **bounds) == "frame"
+    assert source.call == (("jdbc:x", "facts.repos"), {"properties": {"user": "u"}, **bounds})

@@ -76,6 +76,16 @@ def test_top_k_keeps_k_rows_per_task_instead_of_sorting(spark, name):
     assert "rangepartitioning" not in plan
 
 
+@pytest.mark.parametrize("name", ["repo_owner_total", "projects_gt10_total"])
+def test_a_sort_below_a_count_is_dropped(spark, name):
+    assert "rangepartitioning" not in initial_plan(queries()[name](spark, SF))
+
+
+@pytest.mark.parametrize("name", ["commits_daily", "members_daily"])
+def test_daily_sums_sort_days_only(spark, name):
+    assert initial_plan(queries()[name](spark, SF)).count("rangepartitioning") == 1
+
+
 def test_distinct_counts_ignore_the_rollup_below_them(spark):
     """Owners of the fact cost the same shuffles as owners of the events."""
     activity = read_events_activity(spark, SF)
