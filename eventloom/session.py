@@ -6,11 +6,15 @@ from pyspark.sql import SparkSession
 
 # Adaptive execution is relied on to merge small shuffle partitions, to split
 # skewed ones in rebalanced writes and to choose broadcasts from measured sizes.
+# Stream state is kept off the heap: open hours hold one row per repository.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
 }
 
 

@@ -13,6 +13,8 @@ from pyspark.sql import types as T
 from eventloom.functions.calendar import FILE_SUFFIX, day_names
 from eventloom.schemas import ACTIVITY, SOURCE_DATE
 
+_ANY_AGE = "36500d"
+
 
 def _with_source_date(rows: DataFrame) -> DataFrame:
     day = F.substring(F.col("_metadata.file_name"), 1, 10)
@@ -74,12 +76,15 @@ def stream_activity(
     """Hourly files as a stream: each file is read once after it has landed.
 
     ``clean_source`` is ``off``, ``delete`` or ``archive`` (to ``archive_dir``)
-    and applies to files of completed batches.
+    and applies to files of completed batches. A file counts as new by its name
+    alone: by default Spark would pass over one that landed with a time stamp
+    more than a week behind the newest, and lose its events.
     """
     reader = (
         spark.readStream.schema(schema)
         .option("pathGlobFilter", f"*{FILE_SUFFIX}")
         .option("cleanSource", clean_source)
+        .option("maxFileAge", _ANY_AGE)
     )
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)

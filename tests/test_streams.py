@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import pathlib
 import uuid
 from collections import Counter
@@ -62,6 +63,15 @@ def test_stream_facts_equal_batch_facts_over_several_runs(spark, landed, out, tm
     assert {r.author_name for r in pruned.collect()} == {"Ann", "New"}
 
 
+def test_a_file_with_an_old_time_stamp_is_not_passed_over(spark, landed, out, tmp_path):
+    stream_facts(stream_activity(spark, landed), out, str(tmp_path / "p")).awaitTermination()
+    before = read_fact(spark, out, "commits").count()
+    land(pathlib.Path(landed), "2023-06-01-3", [push("2023-06-01T03:00:00Z", authors=("Old",))])
+    os.utime(f"{landed}/2023-06-01-3.json.gz", (1_600_000_000, 1_600_000_000))
+    stream_facts(stream_activity(spark, landed), out, str(tmp_path / "p")).awaitTermination()
+    assert read_fact(spark, out, "commits").count() == before + 1
+
+
 def test_a_repeated_batch_replaces_itself(spark, landed, out, tmp_path, monkeypatch):
     fail = {"left": 1}
     real = live.write_batch
