@@ -220,6 +220,10 @@ ORACLE: dict[str, str] = {
         SELECT date, hour, CAST(date AS VARCHAR) || '-' || hour || '.json.gz' AS file_name
         FROM spine ANTI JOIN seen USING (date, hour)
     """,
+    "stream_hourly_counts": _raw(
+        "SELECT date, hour, type, count(*) AS total_events FROM activity GROUP BY ALL"
+    ),
+    "stream_repos": _repos("SELECT * FROM repos"),
     "repo_columns": _raw(
         "SELECT CAST(e AS VARCHAR) AS id, repo_name_full, repo_author, repo_name FROM named"
     ),

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from eventloom.operators import commits, facts, listings, members, owners, profile, rollups
 from eventloom.sources.fixture import read_events_activity
+from eventloom.streaming import live
 
 TOP = 100
 OWNER = "owner7"
@@ -92,6 +93,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "missing_hours": _on_activity(
         lambda a: profile.missing_hours(a.where(facts.is_member_added()))
     ),
+    # stream operators over all events at once: a finished stream whose hours are all closed
+    "stream_hourly_counts": _on_activity(live.stream_hourly_counts),
+    "stream_repos": _on_activity(live.stream_repos),
     "repo_columns": _on_activity(listings.repo_columns),
     "actor_repo_listing": _on_activity(listings.actor_repo_listing),
     "push_details": _on_activity(_push_details),

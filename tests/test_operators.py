@@ -115,6 +115,52 @@ def test_nameless_repositories_are_a_group_but_not_a_repository(spark):
     assert [tuple(r) for r in owners.repos_per_owner(frame).collect()] == [("solo", 1)]
 
 
+def brute_facts(events):
+    """The three facts by plain loops."""
+    repos, commits, added = Counter(), Counter(), Counter()
+    for _, kind, at, actor, org, repo, payload in events:
+        try:
+            time = dt.datetime.strptime(at or "", "%Y-%m-%dT%H:%M:%SZ")
+        except ValueError:
+            continue
+        name = repo[1]
+        parts = (name or "").split("/")
+        owner = None if name is None else parts[0]
+        short = parts[1] if len(parts) > 1 else None
+        repos[time.date(), time.hour, owner, short] += 1
+        if kind == "PushEvent":
+            for (author,) in payload[2] or []:
+                commits[time.date(), time, author[0]] += 1
+        if kind == "MemberEvent" and payload[0] == "added":
+            member = payload[1] or (None, None, None)
+            added[time.date(), time, member[1], member[2], org and org[1], actor[1], name, short, owner] += 1
+    return Counter({(*key, n): 1 for key, n in repos.items()}), commits, added
+
+
+EVENTS = st.builds(
+    event,
+    st.sampled_from(["PushEvent", "MemberEvent", "WatchEvent"]),
+    st.sampled_from(["2024-01-01T00:00:00Z", "2024-01-01T23:59:59Z", "2024-01-02T00:00:00Z", "bad",
+                     "2024-01-01T00:00:00+01:00", None]),
+    st.sampled_from(["a/x", "a/y", "b/x", "a", "a/x/z", "/x", "a/", None]),
+    st.none() | st.lists(st.sampled_from(["Ann", "Bo", None]), max_size=3),
+    st.sampled_from(["added", "removed", None]),
+    st.sampled_from(["m1", "m2", None]),
+    st.sampled_from([(1, "org"), None]),
+)
+
+
+@settings(max_examples=6, derandomize=True, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(EVENTS, min_size=1, max_size=20))
+def test_facts_against_brute_force(spark, events):
+    frame = activity(spark, *events).coalesce(1)
+    want = brute_facts(events)
+    for (name, build), expected in zip(facts.BUILDERS.items(), want, strict=True):
+        assert rows(build(frame).select(*schemas.FACTS[name].fieldNames())) == expected, name
+    sizes = {r.fact: r.rows_out for r in facts.reduction_ratio(frame).collect()}
+    assert sizes == {name: sum(c.values()) for name, c in zip(facts.BUILDERS, want, strict=True)}
+
+
 def test_ties_are_broken_by_name(spark):
     repos = spark.createDataFrame(
         [(a, r) for a in "zyxw" for r in "12"] + [("many", r) for r in "123"], "repo_author string, repo_name string")
@@ -163,7 +209,7 @@ def test_a_calendar_of_one_day_has_no_inactive_day(spark):
     assert commit_ops.inactive_days(commits_of(spark, [])).count() == 0
 
 
-@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=8, derandomize=True, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.tuples(st.sampled_from(["a", "b", "c", None]), st.integers(0, 9), st.integers(0, 3)),
                 min_size=1, max_size=25), st.integers(1, 12))
 def test_windowed_results_against_brute_force(spark, commit_rows, n):
