@@ -7,6 +7,14 @@ from pyspark.sql import DataFrame
 from eventloom.schemas import FACTS, SOURCE_DATE
 
 
+def _write_partitions(rows: DataFrame, target: str, overwrite: str, *partitions: str) -> None:
+    """Rows of a partition are brought together first: otherwise each task writes
+    a small file to every day it has rows of. Large days are split again."""
+    rows.hint("rebalance", *partitions).write.mode("overwrite").option(
+        "partitionOverwriteMode", overwrite
+    ).partitionBy(*partitions).parquet(target)
+
+
 def write_fact(rows: DataFrame, root: str, name: str, day: str | None = None) -> None:
     """Store fact rows that carry ``source_date``; safe to run again.
 
@@ -20,21 +28,16 @@ def write_fact(rows: DataFrame, root: str, name: str, day: str | None = None) ->
     columns = FACTS[name].fieldNames()
     if day:
         out = rows.where(f"{SOURCE_DATE} = DATE'{day}'").select(*columns)
-        out.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
-            "date"
-        ).parquet(f"{target}/{SOURCE_DATE}={day}")
+        _write_partitions(out, f"{target}/{SOURCE_DATE}={day}", "static", "date")
     else:
         out = rows.select(SOURCE_DATE, *columns)
-        out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-            SOURCE_DATE, "date"
-        ).parquet(target)
+        _write_partitions(out, target, "dynamic", SOURCE_DATE, "date")
 
 
 def write_batch(rows: DataFrame, root: str, name: str, batch_id: int) -> None:
     """Store the fact rows of one stream batch; a repeated batch replaces itself."""
-    rows.select(*FACTS[name].fieldNames()).write.mode("overwrite").option(
-        "partitionOverwriteMode", "static"
-    ).partitionBy("date").parquet(f"{root.rstrip('/')}/{name}/batch_id={batch_id}")
+    out = rows.select(*FACTS[name].fieldNames())
+    _write_partitions(out, f"{root.rstrip('/')}/{name}/batch_id={batch_id}", "static", "date")
 
 
 def export_csv(rows: DataFrame, root: str, metric: str, date: str) -> str:

@@ -15,7 +15,7 @@ from eventloom.operators import commits as commit_ops
 from eventloom.operators import owners as owner_ops
 from eventloom.operators.facts import BUILDERS, merge_repos
 from eventloom.plans.daily import run_day, run_days, run_metrics
-from eventloom.sinks.files import export_csv
+from eventloom.sinks.files import export_csv, write_fact
 from eventloom.sources import create_fact_table, read_activity, read_fact, read_latest_hours
 
 
@@ -144,6 +144,23 @@ def test_range_equals_single_days_and_builders(spark, landed, tmp_path):
         assert (rows(merge_repos(read_fact(spark, at_once, name))) if name == "repos" else stored) == whole
 
 
+def test_one_file_per_day_unless_the_day_is_large(spark, tmp_path):
+    days = spark.range(0, 300_000, 1, 8).selectExpr(
+        "if(id < 150, date_add(DATE'2024-01-01', cast(id % 3 as int)), DATE'2024-02-01') AS date",
+        "timestampadd(SECOND, cast(id % 86400 as int), cast(DATE'2024-02-01' as timestamp_ntz)) AS created_at",
+        "sha1(cast(id as string)) AS author_name", "DATE'2024-02-01' AS source_date")
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2MB")
+    try:
+        write_fact(days, str(tmp_path), "commits")
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+    files = Counter(p.parent.name for p in tmp_path.rglob("part-*.parquet"))
+    assert files.pop("date=2024-02-01") > 3
+    assert files == {f"date=2024-01-0{d}": 1 for d in (1, 2, 3)}
+    assert read_fact(spark, str(tmp_path), "commits").count() == 300_000
+
+
 def test_withdrawn_events_disappear_with_a_rerun_of_their_day(spark, landed, tmp_path):
     out = str(tmp_path / "facts")
     run_day(spark, landed, out, "2024-01-01")
