@@ -196,6 +196,19 @@ def test_read_fact_prunes_days(spark, landed, tmp_path, capsys):
     assert len(fact.inputFiles()) >= 1
 
 
+def test_days_of_a_stored_fact_are_read_off_its_partitions(spark, landed, tmp_path, capsys):
+    out = str(tmp_path / "facts")
+    run_days(spark, landed, out, "2024-01-01", "2024-01-03")
+    span = commit_ops.commit_day_span(read_fact(spark, out, "commits"))
+    assert tuple(span.first()) == (dt.date(2024, 1, 1), dt.date(2024, 1, 3))
+    rows_per_day = owner_ops.repos_daily_rows(read_fact(spark, out, "repos"))
+    assert [tuple(r) for r in rows_per_day.collect()] == [
+        (dt.date(2024, 1, 3), 1), (dt.date(2024, 1, 2), 3), (dt.date(2024, 1, 1), 3)]
+    for df in (span, rows_per_day):
+        df.explain("formatted")
+        assert "ReadSchema: struct<>" in capsys.readouterr().out
+
+
 def test_stored_table_in_the_catalog(spark, landed, tmp_path):
     out = str(tmp_path / "facts")
     run_days(spark, landed, out, "2024-01-01", "2024-01-03")
