@@ -11,7 +11,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm import bpe, line_dedup, packing, url_filter
+from eventloom.llm import (
+    bpe,
+    embed_dedup,
+    fingerprint,
+    html_extract,
+    line_dedup,
+    minhash,
+    packing,
+    quality,
+    toxicity,
+    url_filter,
+)
+from eventloom.llm.staging import ship_package
 
 SPECIAL_TOKENS = {bpe.SPECIAL: 50256}
 
@@ -33,9 +45,27 @@ def vocabulary(name: str) -> str:
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op3_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.compare_with_next(_table(spark, sf_dir, "documents"))
+
+
+def op4_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = html_extract.extract_main_text(_table(spark, sf_dir, "pages"))
+    return texts.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack_documents(_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
     return pieces.select(
@@ -43,11 +73,19 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = url_filter.filter_urls(_table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op8_embed_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.near_duplicate_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = vocabulary("byte_bpe_50k.tiktoken")
     encoded = bpe.encode_documents(_table(spark, sf_dir, "documents"), ranks, SPECIAL_TOKENS)
@@ -68,8 +106,14 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_minhash": op1_minhash,
+    "op2_toxicity": op2_toxicity,
+    "op3_fingerprint": op3_fingerprint,
+    "op4_html_extract": op4_html_extract,
     "op5_packing": op5_packing,
+    "op6_quality": op6_quality,
     "op7_url_filter": op7_url_filter,
+    "op8_embed_dedup": op8_embed_dedup,
     "op9_bpe": op9_bpe,
     "op10_line_dedup": op10_line_dedup,
 }

@@ -4,10 +4,30 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Gives the executors this package, as ``--py-files`` does, once per application.
+
+    Spark sends the archive from the driver. Nothing happens if the package
+    itself was loaded from an archive: then it has been submitted with the job.
+    """
+    context, package = spark.sparkContext, Path(__file__).resolve().parents[1]
+    if context.applicationId in _shipped or not package.is_dir():
+        return
+    archive = Path(tempfile.mkdtemp(prefix="llm-package-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
 
 
 def shared_root(spark: SparkSession) -> str:
