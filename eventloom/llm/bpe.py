@@ -16,37 +16,28 @@ from __future__ import annotations
 
 import base64
 import functools
+import re
 import unicodedata
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from eventloom.llm.words import SPACE, IdTable, WordHasher, chunks, cut, mix, spread
+
 #: The pattern by which byte-level BPE splits text before its merges (fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 SPECIAL = "<|endoftext|>"
 LEAF_CHARS = 32_768
-_CACHED = 200_000
+#: Longer texts could have more stretches than the table of known ones takes.
+_LONG = 1 << 20
+#: White space of the pattern that is not ASCII.
+_WIDE_SPACE = "[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 _IDS = np.dtype("<u4")
 
 
-class _Chunks(dict):
-    """Ids, as bytes, of a space and what follows it up to the next space."""
-
-    def __init__(self, encode) -> None:
-        super().__init__()
-        self._encode = encode
-
-    def __missing__(self, chunk: str) -> bytes:
-        if len(self) >= _CACHED:
-            self.clear()
-        ids = np.array(self._encode(" " + chunk), _IDS).tobytes()
-        if len(chunk) <= 40:
-            self[chunk] = ids
-        return ids
-
-
 class ByteBpe:
     """One vocabulary; ``ranks_file`` holds base64 tokens and their ranks."""
 
@@ -59,27 +50,52 @@ class ByteBpe:
         self.special = special
         self._bpe = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=self.ranks, special_tokens=special)
         self.tokens = {i: t for t, i in self.ranks.items()} | {i: s.encode() for s, i in special.items()}
-        self._chunks = _Chunks(self.encode)
+        pieces = [self.tokens.get(i, b"") for i in range(max(self.tokens) + 1)]
+        self._bytes = np.frombuffer(b"".join(pieces), np.uint8)
+        self._lengths = np.array([len(p) for p in pieces] + [0])
+        self._at = np.concatenate([[0], np.cumsum(self._lengths[:-1])])
+        self._hash, self._table = WordHasher(spaces=True), IdTable()
+        self._apart = re.compile("|".join([_WIDE_SPACE, *map(re.escape, special)]))
 
     def encode(self, text: str) -> list[int]:
         return self._bpe.encode(text, allowed_special="all")
 
-    def encode_bytes(self, text: str) -> bytes:
-        """The ids as little-endian unsigned 32-bit integers.
+    def encode_all(self, texts: list[str | None]) -> Iterator[bytes]:
+        """The ids of each text, in order, as little-endian unsigned 32-bit integers.
 
-        A text always splits before a single space, so equal chunks between
-        spaces have equal ids and are encoded once. Runs of spaces and special
-        tokens are left to the encoder.
+        Whatever surrounds it, a text splits before a space that no white space
+        follows. So texts are cut there, and the ids of each stretch are found once
+        and kept. Texts with special tokens or with white space beyond ASCII, and
+        very long ones, are left to the encoder.
         """
-        if "  " in text or any(s in text for s in self.special):
-            return np.array(self.encode(text), _IDS).tobytes()
-        first, *rest = text.split(" ")
-        return np.array(self.encode(first), _IDS).tobytes() + b"".join(map(self._chunks.__getitem__, rest))
-
-    def decode(self, ids: bytes) -> str:
+        apart = [bool(t and (len(t) > _LONG or self._apart.search(t))) for t in texts]
+        for first, buffer, bounds in chunks("" if a else t for t, a in zip(texts, apart)):
+            for number, ids in enumerate(self._encode_chunk(buffer, bounds), first):
+                yield np.array(self.encode(texts[number]), _IDS).tobytes() if apart[number] else ids
+
+    def _encode_chunk(self, buffer: np.ndarray, bounds: np.ndarray) -> list[bytes]:
+        begins = np.zeros(len(buffer), bool)
+        begins[:-1] = (buffer[:-1] == 0x20) & ~SPACE[buffer[1:]]
+        begins[bounds[:-1]] = True
+        begins[bounds[1:] - 1] = True  # the space behind a text, a unit without ids
+        starts = np.flatnonzero(begins)
+        lengths = np.diff(np.append(starts, len(buffer)))
+        keys = mix(self._hash(buffer, starts) + lengths.astype(np.uint64))
+        real = ~np.isin(starts, bounds[1:] - 1, assume_unique=True)
+        starts, lengths, data = starts[real], lengths[real], buffer.tobytes()
+
+        def encode(at: list[int]) -> Iterator[list[int]]:
+            for start, size in zip(starts[at].tolist(), lengths[at].tolist()):
+                yield self._bpe.encode_ordinary(data[start : start + size].decode())
+
+        ids, counts = self._table.ids(keys[real], encode)
+        return cut(ids, counts, np.searchsorted(starts, bounds))
+
+    def decode_all(self, texts_ids: list[bytes | None]) -> Iterator[str]:
         """Bytes that are no UTF-8 become replacement characters, unknown ids nothing."""
-        found = map(self.tokens.get, np.frombuffer(ids, _IDS).tolist())
-        return b"".join([t for t in found if t]).decode("utf-8", "replace")
+        for ids in texts_ids:
+            known = np.minimum(np.frombuffer(ids or b"", _IDS), len(self._lengths) - 1).astype(np.int64)
+            yield spread(self._bytes, self._at[known], self._lengths[known]).tobytes().decode("utf-8", "replace")
 
     # -- joins -----------------------------------------------------------------
 
@@ -170,7 +186,7 @@ def encode_udf(ranks_file: str, special: dict[str, int]):
     @F.arrow_udf("binary")
     def encode(texts: pa.Array) -> pa.Array:
         bpe = load(ranks_file, fixed)
-        return pa.array([bpe.encode_bytes(t or "") for t in texts.to_pylist()], pa.binary())
+        return pa.array(list(bpe.encode_all(texts.to_pylist())), pa.binary())
 
     return encode
 
@@ -182,7 +198,7 @@ def decode_udf(ranks_file: str, special: dict[str, int]):
     @F.arrow_udf("string")
     def decode(ids: pa.Array) -> pa.Array:
         bpe = load(ranks_file, fixed)
-        return pa.array([bpe.decode(i or b"") for i in ids.to_pylist()], pa.string())
+        return pa.array(list(bpe.decode_all(ids.to_pylist())), pa.string())
 
     return decode
 

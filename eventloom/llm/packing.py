@@ -22,14 +22,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.llm.words import SPACE, WordHasher, chunks, mix
+from eventloom.llm.words import SPACE, IdTable, WordHasher, chunks, cut, mix
 
 WINDOW = 2048
 END_ID = 1
 _IDS = np.dtype("<u4")
 #: Characters below this are put into words here; texts with others go to the tokenizer.
 _PLAIN_END = 0x180
-_KNOWN_UNITS = 1 << 20
 _LONG = 1 << 20
 _BATCH_IDS = 4_000_000
 _TASK_BITS = 33
@@ -80,46 +79,7 @@ class WordTokenizer:
         self._hash = WordHasher()
         self._letter = np.zeros(256, bool)
         self._letter[[*range(97, 123), *range(128, 256)]] = True
-        self._forget()
-
-    def _forget(self) -> None:
-        """An open-addressing table of units (hash, length) and their ids in one array."""
-        slots = 4 * _KNOWN_UNITS
-        self._keys = np.zeros(slots, np.uint64)
-        self._at = np.zeros(slots, np.int32)
-        self._n = np.zeros(slots, np.int32)
-        self._ids = np.zeros(1 << 20, _IDS)
-        self._used = self._units = 0
-
-    def _find(self, keys: np.ndarray) -> np.ndarray:
-        """The slot of each key, or -1."""
-        mask = np.uint64(len(self._keys) - 1)
-        slot = (keys & mask).astype(np.int64)
-        found = self._keys[slot]
-        pending = np.flatnonzero(found != keys)
-        while len(pending):
-            here = found[pending]
-            missing = pending[here == 0]
-            slot[missing] = -1
-            pending = pending[(here != 0)]
-            slot[pending] = (slot[pending] + 1) & int(mask)
-            found[pending] = self._keys[slot[pending]]
-            pending = pending[found[pending] != keys[pending]]
-        return slot
-
-    def _learn(self, keys: np.ndarray, units: list[str]) -> None:
-        mask = len(self._keys) - 1
-        for key, unit in zip(keys.tolist(), units):
-            ids = self._bpe.encode_ordinary("\0".join(self._words.findall(unit)) + "\0")
-            if self._used + len(ids) > len(self._ids):
-                self._ids = np.concatenate([self._ids, np.zeros(max(len(ids), len(self._ids)), _IDS)])
-            slot = key & mask
-            while self._keys[slot]:
-                slot = (slot + 1) & mask
-            self._keys[slot], self._at[slot], self._n[slot] = key, self._used, len(ids)
-            self._ids[self._used : self._used + len(ids)] = ids
-            self._used += len(ids)
-        self._units += len(units)
+        self._table = IdTable()
 
     def encode_all(self, texts: list[str | None]) -> Iterator[bytes]:
         """The ids of each text, in order, as little-endian unsigned 32-bit integers."""
@@ -147,24 +107,17 @@ class WordTokenizer:
         starts, lengths = self._unit_spans(buffer)
         if not len(starts):
             return [b""] * (len(bounds) - 1)
-        # The length, too, tells units apart; zero marks a free slot.
-        keys = mix(self._hash(buffer, starts) + lengths.astype(np.uint64)) | np.uint64(1)
-        slots = self._find(keys)
-        if (slots < 0).any():
-            new, at = np.unique(keys[slots < 0], return_index=True)
-            at = np.flatnonzero(slots < 0)[at]
-            if self._units + len(new) > _KNOWN_UNITS:
-                self._forget()
-                new, at = np.unique(keys, return_index=True)
-            data = buffer.tobytes()
-            self._learn(new, [data[s : s + n].decode() for s, n in zip(starts[at].tolist(), lengths[at].tolist())])
-            slots = self._find(keys)
-        counts = self._n[slots].astype(np.int64)
-        ends = np.cumsum(counts)
-        source = np.repeat(self._at[slots] - (ends - counts), counts) + np.arange(ends[-1])
-        data = self._ids[source].tobytes()
-        cuts = np.concatenate([[0], ends])[np.searchsorted(starts, bounds)] * 4
-        return [data[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
+        # The length, too, tells units apart.
+        keys = mix(self._hash(buffer, starts) + lengths.astype(np.uint64))
+        data = buffer.tobytes()
+
+        def encode(at: list[int]) -> Iterator[list[int]]:
+            for start, size in zip(starts[at].tolist(), lengths[at].tolist()):
+                words = self._words.findall(data[start : start + size].decode())
+                yield self._bpe.encode_ordinary("\0".join(words) + "\0")
+
+        ids, counts = self._table.ids(keys, encode)
+        return cut(ids, counts, np.searchsorted(starts, bounds))
 
     def _unit_spans(self, buffer: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         space, letter, mark = SPACE[buffer], self._letter[buffer], buffer == 0x27
