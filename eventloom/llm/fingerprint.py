@@ -176,7 +176,8 @@ def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     if stretches is None:
         stretches = 4 * max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     # One number per stretch, from ids alone: bounded by ``stretches``.
-    cuts = sorted(set(rows.select("id").approxQuantile("id", [i / stretches for i in range(1, stretches)], 0.1 / stretches)))
+    shares = [i / stretches for i in range(1, stretches)]
+    cuts = sorted(set(rows.select("id").approxQuantile("id", shares, 0.1 / stretches))) if shares else []
     cut = F.lit(0)
     stretch = F.aggregate(
         F.array(*[F.lit(float(c)) for c in cuts]).cast("array<double>"), cut, lambda n, c: n + (F.col("id") > c).cast("int")

@@ -1,0 +1,229 @@
+"""Near duplicates and components against brute force over all pairs."""
+
+from __future__ import annotations
+
+import random
+import re
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from eventloom.llm import embed_dedup, minhash
+from eventloom.llm.blocks import in_blocks
+from eventloom.llm.components import connected_components
+from eventloom.llm.queries import QUERIES
+from tests.conftest import TESTDATA
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def roots_of(nodes, links):
+    parent = {n: n for n in nodes}
+
+    def find(n):
+        while parent[n] != n:
+            parent[n] = parent[parent[n]]
+            n = parent[n]
+        return n
+
+    for a, b in links:
+        a, b = find(a), find(b)
+        parent[max(a, b)] = min(a, b)
+    return {n: find(n) for n in nodes}
+
+
+# -- components ------------------------------------------------------------------
+
+
+def components(spark, links):
+    frame = spark.createDataFrame(links, "a long, b long")
+    return {r.node: r.component for r in connected_components(frame).collect()}
+
+
+@pytest.mark.parametrize("shape", ["path", "star", "cycle", "random", "tree"])
+def test_components(spark, shape):
+    rng = random.Random(1)
+    n = 60
+    links = {
+        "path": [(i, i + 1) for i in range(n)],
+        "star": [(n, i) for i in range(n)],
+        "cycle": [(i, (i + 1) % n) for i in range(n)],
+        "random": [(rng.randint(0, 80), rng.randint(0, 80)) for _ in range(45)],
+        "tree": [(i, i // 2) for i in range(1, n)],
+    }[shape]
+    rng.shuffle(links)
+    names = rng.sample(range(-500, 500), 100)
+    links = [(names[a], names[b]) for a, b in links]
+    nodes = {x for link in links for x in link}
+    assert components(spark, links) == roots_of(nodes, links)
+
+
+def test_component_edges(spark):
+    assert components(spark, []) == {}
+    assert components(spark, [(1, None), (None, None), (4, 4), (5, 5), (5, 3), (3, 5), (3, 5)]) == {4: 4, 5: 3, 3: 3}
+
+
+def test_blocks_meet_once(spark):
+    rows = spark.range(50).select(F.lit("k").alias("key"), "id").union(spark.range(3).select(F.lit("s").alias("key"), "id"))
+    groups = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    met = {}
+    for r in in_blocks(rows, groups, ["key"], "id", block=8).collect():
+        met.setdefault((r.key, r.left, r.right), []).append((r.side, r.id))
+    pairs = [
+        (key, *sorted((a, b)))
+        for (key, left, right), found in met.items()
+        for s, a in found if s == left
+        for t, b in found if t == right and (left != right or a < b)
+    ]
+    assert len(pairs) == len(set(pairs)) == 50 * 49 // 2 + 3
+
+
+# -- documents -------------------------------------------------------------------
+
+
+def shingles(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOWER))
+    return {tuple(words[i : i + 5]) for i in range(max(len(words) - 4, 1))} if words else set()
+
+
+def plain_near(docs):
+    sets = [(i, shingles(t)) for i, t in docs]
+    links = [
+        (a, b)
+        for n, (a, x) in enumerate(sets) for b, y in sets[:n]
+        if x and y and a is not None and b is not None and 100 * len(x & y) >= 75 * len(x | y)
+    ]
+    roots = roots_of({i for i, _ in docs if i is not None}, links)
+    return sorted(((i, len(s), roots.get(i), i is None or roots[i] == i) for i, s in sets), key=str)
+
+
+def near(spark, docs):
+    frame = spark.createDataFrame([(i, t, 1, "x") for i, t in docs], "doc_id long, text string, component_id int, same string")
+    return sorted((tuple(r) for r in minhash.near_duplicates(frame).collect()), key=str)
+
+
+def test_document_edges(spark):
+    rng = random.Random(2)
+    base = [rng.choice("abcdefghijklmnop") * rng.randint(1, 4) for _ in range(80)]
+    long = " ".join(str(rng.random()) for _ in range(30_000))
+    docs = [
+        (10, " ".join(base)), (11, " ".join(base[:-3])), (12, "\t".join(base).upper()), (13, None), (14, ""), (15, " \n\t"),
+        (16, "one two"), (17, "ONE  two"), (18, "one two three"), (19, "a b c d e"), (20, "a b c d e"), (21, " "), (22, "É x"), (23, "é x"),
+        (24, long), (25, long + " tail"), (9, " ".join(base[3:])), (30, "same row twice here ok"), (30, "same row twice here ok"),
+        (40, "first text of forty is this one"), (40, "second text of forty is that one"), (41, "second text of forty is that one"),
+        (5, "first text of forty is this one"), (None, "one two"),
+    ]
+    assert near(spark, docs) == plain_near(docs)
+    assert near(spark, []) == []
+    assert near(spark, [(1, None)]) == [(1, 0, 1, True)]
+
+
+def test_similarity_at_the_threshold(spark):
+    words = [f"w{i}" for i in range(2000)]
+    docs = []
+    for k in range(12):  # sets of 100 shingles, 14 or 15 of them changed: 86/114 and 85/115
+        text = words[k * 150 : k * 150 + 104]
+        docs += [(2 * k, " ".join(text)), (2 * k + 1, " ".join(text[: 104 - 14 - k % 2] + [f"x{k}_{i}" for i in range(14 + k % 2)]))]
+    got = near(spark, docs)
+    assert got == plain_near(docs)
+    assert {r[3] for r in got if r[0] % 4 == 1} == {False} and {r[3] for r in got if r[0] % 4 == 3} == {True}
+
+
+def test_chains_of_near_copies(spark):
+    """Neighbours are linked, most pairs of a group are not."""
+    rng = random.Random(4)
+    docs = []
+    for group in range(6):
+        text = [f"g{group}_{i}" for i in range(120)]
+        for step in range(12):
+            docs.append((rng.randint(0, 10**9), " ".join(text)))
+            text = text[6:] + [f"n{group}_{step}_{i}" for i in range(6)]
+    assert near(spark, docs) == plain_near(docs)
+
+
+def test_documents_sharing_a_passage_are_not_near(spark):
+    passage = [f"p{i}" for i in range(60)]
+    docs = [(i, " ".join([f"d{i}_{k}" for k in range(25)] + passage)) for i in range(80)]
+    got = near(spark, docs)
+    assert got == plain_near(docs)
+    assert all(r[3] for r in got)
+
+
+def test_kept_documents_keep_their_columns(spark):
+    frame = spark.createDataFrame([(1, "same text here", "a"), (2, "same text here", "b"), (None, "same text here", "c")], "doc_id long, text string, kept string")
+    rows = minhash.drop_near_duplicates(frame)
+    assert rows.columns == frame.columns and sorted(r.kept for r in rows.collect()) == ["a", "c"]
+
+
+def test_op1(spark):
+    sf = f"{TESTDATA}/sf0.001"
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    assert sorted((tuple(r) for r in QUERIES["op1_minhash"](spark, sf).collect()), key=str) == plain_near(docs)
+
+
+# -- embeddings ------------------------------------------------------------------
+
+
+def plain_vectors(rows, cosine=0.95):
+    def unit(v):
+        v = np.array(v if v and None not in v else [], float)
+        return v / np.linalg.norm(v) if len(v) and np.isfinite(v).all() and v.any() else None
+
+    units = [(i, unit(v)) for i, v in rows]
+    links, degree = [], {i: 0 for i, _ in rows}
+    for n, (a, x) in enumerate(units):
+        for m, (b, y) in enumerate(units):
+            if n != m and a is not None and b is not None and x is not None and y is not None and len(x) == len(y) and x @ y >= cosine:
+                degree[a] += 1
+                links.append((a, b))
+    roots = roots_of({i for i, _ in rows if i is not None}, links)
+    return sorted(((i, degree[i] if i is not None else 0, roots.get(i), i is None or roots[i] == i) for i, _ in rows), key=str)
+
+
+def vectors(spark, rows):
+    frame = spark.createDataFrame([(i, v, 0) for i, v in rows], "vec_id long, embedding array<float>, same int")
+    return sorted((tuple(r) for r in embed_dedup.near_duplicate_vectors(frame).collect()), key=str)
+
+
+def test_vectors_in_groups(spark):
+    rng = np.random.default_rng(6)
+    rows = []
+    for group in range(40):
+        centre = rng.standard_normal(16)
+        for _ in range(rng.integers(1, 9)):
+            rows.append((int(rng.integers(0, 10**6)), (centre + 0.02 * rng.standard_normal(16)).astype(np.float32).tolist()))
+    rows += [(10**6 + i, v) for i, (_, v) in enumerate(rows[:30])]  # exact copies
+    assert vectors(spark, rows) == plain_vectors(rows)
+
+
+def test_vector_edges(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [
+        (1, [1.0, 0.0]), (2, [2.0, 0.0]), (3, [1.0, 0.3]), (4, None), (5, []), (6, [0.0, 0.0]), (7, [nan, 1.0]), (8, [inf, 1.0]), (9, [None, 1.0]),
+        (10, [1.0, 0.0, 0.0]), (11, [1e-30, 0.0]), (12, [1e30, 1e25]), (13, [-1.0, 0.0]), (14, [0.0, -0.0, 1.0]), (15, [-0.0, 0.0, 1.0]), (None, [1.0, 0.0]),
+    ]
+    assert vectors(spark, rows) == plain_vectors(rows)
+    assert vectors(spark, []) == []
+    assert vectors(spark, [(7, [1.0]), (7, [1.0])]) == [(7, 0, 7, True)] * 2
+
+
+def test_recall_at_the_threshold(spark):
+    """Pairs just above it, against the chance the tables are planned for."""
+    rng = np.random.default_rng(7)
+    rows = []
+    for k in range(400):
+        a, b = rng.standard_normal((2, 32))
+        a /= np.linalg.norm(a)
+        b -= (a @ b) * a
+        b /= np.linalg.norm(b)
+        rows += [(2 * k, a.tolist()), (2 * k + 1, (0.951 * a + np.sqrt(1 - 0.951**2) * b).tolist())]
+    got = vectors(spark, rows)
+    assert all(g[1] <= w[1] for g, w in zip(got, plain_vectors(rows)))
+    assert sum(r[1] for r in got) >= 0.98 * 800
+
+
+def test_op8(spark):
+    sf = f"{TESTDATA}/sf0.001"
+    rows = [(r.vec_id, list(r.embedding)) for r in spark.read.parquet(f"{sf}/embeddings.parquet").collect()]
+    assert sorted((tuple(r) for r in QUERIES["op8_embed_dedup"](spark, sf).collect()), key=str) == plain_vectors(rows)
