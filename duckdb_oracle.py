@@ -18,15 +18,21 @@ activity AS (
             WHEN 'view' THEN 'WatchEvent'
             WHEN 'error' THEN 'IssuesEvent'
         END AS type,
-        date_trunc('second', ts) AS event_ts,
-        strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS created_at,
-        CAST(ts AS DATE) AS date,
-        CAST(hour(ts) AS INTEGER) AS hour,
+        CASE WHEN event_id % 301 NOT IN (11, 12) THEN date_trunc('second', ts) END AS event_ts,
+        CASE WHEN event_id % 301 = 11 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S')
+            WHEN event_id % 301 = 12 THEN NULL
+            WHEN event_id % 41 = 7 THEN strftime(ts + INTERVAL 2 HOUR, '%Y-%m-%dT%H:%M:%S+02:00')
+            WHEN event_id % 41 = 9 THEN strftime(ts - INTERVAL 330 MINUTE, '%Y-%m-%dT%H:%M:%S-0530')
+            ELSE strftime(ts, '%Y-%m-%dT%H:%M:%SZ') END AS created_at,
+        CAST(event_ts AS DATE) AS date,
+        CAST(hour(event_ts) AS INTEGER) AS hour,
         CASE WHEN event_id % 3 <> 0 THEN event_id % 7 END AS org_id,
         CASE WHEN event_id % 3 <> 0 THEN 'org' || (event_id % 7) END AS org_login,
         (event_id // 2) % 185 AS repo_id,
         CASE
             WHEN event_id % 97 = 0 THEN 'noslash'
+            WHEN event_id % 89 = 0 THEN 'owner1/'
+            WHEN event_id % 83 = 0 THEN 'owner2/repo1/extra'
             WHEN event_id % 10 = 0 THEN 'owner0/repo0'
             WHEN (event_id // 4) % 37 < 5 THEN 'owner' || ((event_id // 4) % 37) || '/repo0'
             ELSE 'owner' || ((event_id // 4) % 37) || '/repo' || ((event_id // 2) % 5)
@@ -36,36 +42,43 @@ activity AS (
         END AS action,
         CASE WHEN event_type = 'signup' THEN user_id END AS member_id,
         CASE WHEN event_type = 'signup' THEN 'm' || user_id END AS member_login,
-        CASE WHEN event_type = 'signup' THEN 'User' END AS member_type
+        CASE WHEN event_type = 'signup' THEN 'User' END AS member_type,
+        CASE WHEN type = 'PushEvent' THEN 'refs/heads/b' || (event_id % 3) END AS ref,
+        CASE event_id % 5 WHEN 0 THEN 'branch' WHEN 1 THEN 'tag' END AS ref_type,
+        CASE WHEN event_type = 'error' THEN 'state' || (event_id % 2) END AS review
     FROM events
 ),
 named AS (
     SELECT *,
         split_part(repo_name_full, '/', 1) AS repo_author,
-        nullif(split_part(repo_name_full, '/', 2), '') AS repo_name
+        CASE WHEN contains(repo_name_full, '/') THEN split_part(repo_name_full, '/', 2) END AS repo_name
     FROM activity
 )"""
 
 _REPOS = """,
 repos AS (
     SELECT date, hour, repo_author, repo_name, count(*) AS total_events
-    FROM named GROUP BY ALL
+    FROM named WHERE event_ts IS NOT NULL GROUP BY ALL
 )"""
 
 _COMMITS = """,
 commits AS (
-    SELECT date, event_ts AS created_at, 'dev' || ((u * 7 + e + n.i * 13) % 1000) AS author_name
+    SELECT date, event_ts AS created_at,
+        CASE WHEN (e + n.i) % 59 <> 0 THEN 'dev' || ((u * 7 + e + n.i * 13) % 1000) END AS author_name
     FROM activity JOIN (VALUES (0), (1), (2)) AS n(i) ON n.i < e % 4
-    WHERE type = 'PushEvent'
+    WHERE type = 'PushEvent' AND e % 61 <> 3 AND event_ts IS NOT NULL
 )"""
 
-_MEMBERS = """,
-members AS (
+_ADDED = """,
+added AS (
     SELECT date, event_ts AS created_at, member_login, member_type, org_login,
         'u' || u AS actor_login, repo_name_full, repo_name, repo_author
     FROM named WHERE type = 'MemberEvent' AND action = 'added'
 )"""
 
+_MEMBERS = f"""{_ADDED},
+members AS (SELECT * FROM added WHERE created_at IS NOT NULL)"""
+
 _IDLE = """,
 span AS (SELECT min(date) AS lo, max(date) AS hi FROM commits),
 calendar AS (
@@ -171,7 +184,7 @@ ORACLE: dict[str, str] = {
     ),
     "inactive_days": f"WITH {_ACTIVITY}{_COMMITS}{_IDLE} SELECT * FROM idle",
     "top_commit_days": _commits(
-        _PER_DAY.format(having=">= 2") + "ORDER BY author_name, total_commits DESC, date LIMIT 100"
+        _PER_DAY.format(having=">= 2") + "ORDER BY author_name NULLS FIRST, total_commits DESC, date LIMIT 100"
     ),
     "top_inactive_days": f"""
         WITH {_ACTIVITY}{_COMMITS}{_IDLE}
@@ -183,11 +196,11 @@ ORACLE: dict[str, str] = {
     ),
     "members_per_repo": _members(
         "SELECT repo_name_full, count(DISTINCT member_login) AS total_member_logins "
-        "FROM members GROUP BY repo_name_full"
+        "FROM added GROUP BY repo_name_full"
     ),
     "members_per_repo_hour": _members(
         "SELECT date, CAST(hour(created_at) AS INTEGER) AS hour, repo_name_full, "
-        "count(DISTINCT member_login) AS total_member_logins FROM members GROUP BY ALL"
+        "count(DISTINCT member_login) AS total_member_logins FROM added GROUP BY ALL"
     ),
     "members_hourly": _members(_HOURLY.format(fact="members")),
     "members_daily": _members(_DAILY.format(fact="members")),
@@ -196,7 +209,7 @@ ORACLE: dict[str, str] = {
         "FROM activity WHERE type = 'MemberEvent' AND action = 'added'"
     ),
     "top_projects": _members(
-        f"{_PROJECTS} ORDER BY total_members DESC, repo_name, repo_name_full LIMIT 100"
+        f"{_PROJECTS} ORDER BY total_members DESC, repo_name NULLS FIRST, repo_name_full LIMIT 100"
     ),
     "activity_count": _raw("SELECT count(*) AS total_events FROM activity"),
     "event_span": _raw(
@@ -209,7 +222,7 @@ ORACLE: dict[str, str] = {
     ),
     "missing_hours": f"""
         WITH {_ACTIVITY},
-        seen AS (SELECT DISTINCT date, hour FROM activity WHERE action = 'added'),
+        seen AS (SELECT DISTINCT date, hour FROM activity WHERE date IS NOT NULL),
         spine AS (
             SELECT CAST(t.d AS DATE) AS date, CAST(hour(t.d) AS INTEGER) AS hour
             FROM (SELECT min(date) AS lo, max(date) AS hi FROM seen) AS s,
@@ -221,7 +234,8 @@ ORACLE: dict[str, str] = {
         FROM spine ANTI JOIN seen USING (date, hour)
     """,
     "stream_hourly_counts": _raw(
-        "SELECT date, hour, type, count(*) AS total_events FROM activity GROUP BY ALL"
+        "SELECT date, hour, type, count(*) AS total_events FROM activity "
+        "WHERE event_ts IS NOT NULL GROUP BY ALL"
     ),
     "stream_repos": _repos("SELECT * FROM repos"),
     "repo_columns": _raw(
@@ -234,16 +248,13 @@ ORACLE: dict[str, str] = {
     "push_details": _raw(
         """
         SELECT
-            CASE WHEN type = 'PushEvent' THEN array_to_string(
+            CASE WHEN type = 'PushEvent' AND e % 61 <> 3 THEN array_to_string(
                 [x FOR x IN [
-                    CASE WHEN e % 4 > 0 THEN 'dev' || ((u * 7 + e) % 1000) END,
-                    CASE WHEN e % 4 > 1 THEN 'dev' || ((u * 7 + e + 13) % 1000) END,
-                    CASE WHEN e % 4 > 2 THEN 'dev' || ((u * 7 + e + 26) % 1000) END
+                    CASE WHEN e % 4 > 0 AND e % 59 <> 0 THEN 'dev' || ((u * 7 + e) % 1000) END,
+                    CASE WHEN e % 4 > 1 AND (e + 1) % 59 <> 0 THEN 'dev' || ((u * 7 + e + 13) % 1000) END,
+                    CASE WHEN e % 4 > 2 AND (e + 2) % 59 <> 0 THEN 'dev' || ((u * 7 + e + 26) % 1000) END
                 ] IF x IS NOT NULL], ',') END AS author_names,
-            CAST(NULL AS VARCHAR) AS ref,
-            CAST(NULL AS VARCHAR) AS ref_type,
-            CAST(NULL AS VARCHAR) AS review,
-            type
+            ref, ref_type, review, type
         FROM activity
         """
     ),

@@ -1,8 +1,10 @@
 """Command line of the daily jobs.
 
     python -m eventloom extract IN_ROOT FACTS_ROOT 2024-01-01 [--until DAY] [--facts repos commits]
-    python -m eventloom metrics FACTS_ROOT OUT_ROOT 2024-01-31 [--from DAY] [--to DAY]
-    python -m eventloom follow IN_ROOT FACTS_ROOT [--checkpoint DIR] [--clean delete]
+    python -m eventloom metrics FACTS_ROOT OUT_ROOT 2024-01-31 [--from DAY] [--to DAY] [--only NAME ...] [--limit N]
+    python -m eventloom missing IN_ROOT 2024-01-01 [--until DAY]
+    python -m eventloom follow IN_ROOT FACTS_ROOT [--checkpoint DIR] [--clean delete] [--afresh]
+    python -m eventloom live IN_ROOT OUT_ROOT [--late "1 hour"]
 
 On a cluster: ``spark-submit --py-files eventloom.zip eventloom/__main__.py ...``.
 """
@@ -11,11 +13,14 @@ from __future__ import annotations
 
 import argparse
 
-from eventloom.plans.daily import run_days, run_metrics
+from eventloom.plans.daily import METRICS, STATISTICS, run_days, run_metrics
 from eventloom.schemas import FACTS, input_schema
 from eventloom.session import get_session
-from eventloom.sources.raw import stream_activity
-from eventloom.streaming.live import stream_facts
+from eventloom.sources.raw import missing_files, stream_activity
+from eventloom.streaming.live import LIVE, run_live, stream_facts
+
+# Hourly files taken up by one stream batch: a week's, so a backlog is not one batch.
+_FILES_AT_ONCE = 168
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -29,12 +34,21 @@ def _parser() -> argparse.ArgumentParser:
     extract.add_argument("--until", help="last day of a range")
     extract.add_argument("--facts", nargs="+", choices=list(FACTS), default=list(FACTS))
 
-    metrics = jobs.add_parser("metrics", help="export all metrics as CSV")
+    extract.add_argument("--clean", choices=["off", "delete"], default="off", help="what to do with the files afterwards")
+
+    missing = jobs.add_parser("missing", help="list hourly files of the days that have not landed")
+    missing.add_argument("in_root")
+    missing.add_argument("day")
+    missing.add_argument("--until", help="last day of a range")
+
+    metrics = jobs.add_parser("metrics", help="export metrics as CSV")
     metrics.add_argument("facts_root")
     metrics.add_argument("out_root")
     metrics.add_argument("run_date")
     metrics.add_argument("--from", dest="date_from")
     metrics.add_argument("--to", dest="date_to")
+    metrics.add_argument("--only", nargs="+", choices=[*METRICS, *STATISTICS], default=list(METRICS))
+    metrics.add_argument("--limit", type=int, default=0, help="first rows of each; 0 for all")
 
     follow = jobs.add_parser("follow", help="append facts from newly landed files")
     follow.add_argument("in_root")
@@ -42,6 +56,16 @@ def _parser() -> argparse.ArgumentParser:
     follow.add_argument("--checkpoint", help="used if the session names no spark.checkpoint.dir")
     follow.add_argument("--clean", choices=["off", "delete"], default="off")
     follow.add_argument("--facts", nargs="+", choices=list(FACTS), default=list(FACTS))
+    follow.add_argument("--files-at-once", type=int, default=_FILES_AT_ONCE)
+    follow.add_argument("--afresh", action="store_true", help="start without progress: the files read before are gone")
+
+    live = jobs.add_parser("live", help="store the counts of complete hours from newly landed files")
+    live.add_argument("in_root")
+    live.add_argument("out_root")
+    live.add_argument("--checkpoint", help="used if the session names no spark.checkpoint.dir")
+    live.add_argument("--late", default="1 hour", help="how late an event may come")
+    live.add_argument("--only", nargs="+", choices=list(LIVE), default=list(LIVE))
+    live.add_argument("--files-at-once", type=int, default=_FILES_AT_ONCE)
     return parser
 
 
@@ -50,7 +74,7 @@ def main(argv: list[str] | None = None) -> None:
     spark = get_session(f"eventloom {args.job}")
     if args.job == "extract":
         summary = run_days(
-            spark, args.in_root, args.facts_root, args.day, args.until or args.day, args.facts
+            spark, args.in_root, args.facts_root, args.day, args.until or args.day, args.facts, args.clean == "delete"
         )
         print(f"{summary.rows_in} events, {summary.rejected} rejected")
         for fact, rows in summary.rows_out.items():
@@ -58,14 +82,23 @@ def main(argv: list[str] | None = None) -> None:
             print(f"{fact}: {rows} rows" + (f", ratio {ratio:.2f}" if ratio else ""))
     elif args.job == "metrics":
         for target in run_metrics(
-            spark, args.facts_root, args.out_root, args.run_date, args.date_from, args.date_to
+            spark, args.facts_root, args.out_root, args.run_date, args.date_from, args.date_to, args.only, args.limit
         ):
             print(target)
+    elif args.job == "missing":
+        for row in missing_files(spark, args.in_root, args.day, args.until).toLocalIterator():
+            print(row.file_name)
+    elif args.job == "live":
+        activity = stream_activity(spark, args.in_root, args.files_at_once)
+        for name, groups in run_live(activity, args.out_root, args.checkpoint, args.late, args.only).items():
+            print(f"{name}: {groups} groups came too late")
     else:
         activity = stream_activity(
-            spark, args.in_root, clean_source=args.clean, schema=input_schema(args.facts)
+            spark, args.in_root, args.files_at_once, clean_source=args.clean, schema=input_schema(args.facts)
         )
-        stream_facts(activity, args.facts_root, args.checkpoint, args.facts).awaitTermination()
+        stream_facts(
+            activity, args.facts_root, args.checkpoint, args.facts, afresh=args.afresh
+        ).awaitTermination()
 
 
 if __name__ == "__main__":

@@ -6,13 +6,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: The end of a time text that names its zone: ``Z``, ``+hh:mm`` or ``+hhmm``.
+_OFFSET = r"T.*[+-]\d{2}:?\d{2}$"
+_EPOCH = "1970-01-01 00:00:00"
+
+
 def utc_timestamp(text: Column) -> Column:
-    """UTC wall-clock time of ISO-8601 text with a ``Z`` suffix, else NULL.
+    """UTC wall-clock time of ISO-8601 text with a zone, else NULL.
 
-    TIMESTAMP_NTZ keeps the result the same under any session time zone. The
-    cast would silently drop another suffix, hence the check.
+    TIMESTAMP_NTZ keeps the result the same under any session time zone. Text
+    with an offset is an exact instant, told in UTC by counting from the epoch.
+    Text without a zone is ambiguous and has no time.
     """
-    return F.when(text.endswith("Z"), text.try_cast("timestamp_ntz"))
+    colon = F.regexp_replace(text, r"([+-]\d{2})(\d{2})$", "$1:$2")
+    instant = colon.try_cast("timestamp")
+    shifted = F.timestamp_add("MICROSECOND", F.unix_micros(instant), F.lit(_EPOCH).cast("timestamp_ntz"))
+    return F.when(text.endswith("Z"), text.try_cast("timestamp_ntz")).when(text.rlike(_OFFSET), shifted)
 
 
 def with_event_time(activity: DataFrame) -> DataFrame:

@@ -62,9 +62,12 @@ def running_commits_per_day(commits: DataFrame) -> DataFrame:
     """Each commit with the author's number of commits of that day up to it.
 
     Commits of one instant share the value, as under SQL's default RANGE frame.
-    They are therefore counted before the window: it then sees at most one row
-    per second of the day, however active the author. Each counted row is
-    expanded to its commits afterwards, large ones over several tasks.
+    They are therefore counted before the window: it then sees one row per
+    author and distinct instant of a day, however many commits fall into one.
+    Each counted row becomes chunks of its commits, and these are dealt out
+    before they are expanded, so a crowded instant is spread over all tasks.
+    The number of partitions is given, as adaptive execution would merge the
+    chunks by their bytes.
     """
     instants = commits.groupBy("author_name", "date", "created_at").agg(
         F.count(F.lit(1)).alias("n")
@@ -75,20 +78,15 @@ def running_commits_per_day(commits: DataFrame) -> DataFrame:
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     counted = instants.withColumn("sum_commits", F.sum("n").over(so_far))
-    columns = ["author_name", "created_at", "date", "sum_commits"]
-
-    def expand(rows, n):
-        return rows.withColumn("_copy", F.explode(F.array_repeat(F.lit(True), n))).select(columns)
-
     size = F.lit(_EXPAND_AT_ONCE).cast("long")
-    chunks = F.sequence(F.lit(0).cast("long"), F.col("n"), size)
-    large = (
-        counted.where(F.col("n") > size)
-        .withColumn("start", F.explode(chunks))
-        .repartition("author_name", "created_at", "start")
+    starts = F.sequence(F.lit(0).cast("long"), F.col("n") - 1, size)
+    tasks = int(commits.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    chunks = counted.withColumn("start", F.explode(starts)).repartition(
+        tasks, "author_name", "created_at", "start"
     )
-    return expand(counted.where(F.col("n") <= size), F.col("n").cast("int")).unionByName(
-        expand(large, F.least(F.col("n") - F.col("start"), size).cast("int"))
+    copies = F.array_repeat(F.lit(True), F.least(F.col("n") - F.col("start"), size).cast("int"))
+    return chunks.withColumn("copy", F.explode(copies)).select(
+        "author_name", "created_at", "date", "sum_commits"
     )
 
 

@@ -30,12 +30,12 @@ def _timed(events: DataFrame) -> DataFrame:
 
 def _time_columns(activity: DataFrame) -> list[str]:
     """What ``with_event_time`` needs of a raw frame, or made of it before."""
-    made = [c for c in ("event_ts", "date", "hour") if c in activity.columns]
-    return made or ["created_at"]
+    made = ["event_ts", "date", "hour"]
+    return made if set(made) <= set(activity.columns) else ["created_at"]
 
 
 def rejects(activity: DataFrame) -> DataFrame:
-    """Raw events whose ``created_at`` is missing, malformed or not in UTC."""
+    """Raw events whose ``created_at`` is missing, malformed or without a zone."""
     return with_event_time(activity).where(F.col("event_ts").isNull()).select(activity.columns)
 
 

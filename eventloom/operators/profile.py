@@ -41,7 +41,8 @@ def events_per_repo(activity: DataFrame) -> DataFrame:
 def missing_hours(activity: DataFrame) -> DataFrame:
     """Hours without events from the first to the last day seen.
 
-    ``file_name`` is the hourly file to fetch again. Both sides of the
+    ``file_name`` is the file such events would be in. It may have landed and be
+    empty: ``sources.missing_files`` goes by the files. Both sides of the
     anti-join are as long as the calendar, and both come from the same shuffle:
     the count keeps the calendar from being read off the activity once more.
     """

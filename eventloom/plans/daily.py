@@ -4,19 +4,29 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from eventloom.functions.calendar import FILE_SUFFIX, day_names
 from eventloom.functions.columns import with_event_time
 from eventloom.operators import commits as commit_ops
 from eventloom.operators import members as member_ops
 from eventloom.operators import owners as owner_ops
+from eventloom.operators import rollups
 from eventloom.operators.facts import BUILDERS
-from eventloom.schemas import FACTS, SOURCE_DATE, input_schema
-from eventloom.sinks.files import export_csv, write_fact
-from eventloom.sources.facts import read_fact
-from eventloom.sources.raw import read_activity
+from eventloom.schemas import BATCH, FACTS, SOURCE_DATE, input_schema
+from eventloom.sinks.files import (
+    drop_other_runs,
+    exists,
+    export_csv,
+    new_run,
+    remove,
+    remove_matching,
+    staged,
+    write_fact,
+)
+from eventloom.sources.facts import read_fact, stored_fact
+from eventloom.sources.raw import read_activity, rejected_lines
 
 
 @dataclass(frozen=True)
@@ -32,9 +42,9 @@ class RunSummary:
         return self.rows_in / out if out else None
 
 
-def run_day(spark: SparkSession, in_root: str, out_root: str, day: str, facts=tuple(FACTS)) -> RunSummary:
+def run_day(spark: SparkSession, in_root: str, out_root: str, day: str, facts=tuple(FACTS), clean: bool = False) -> RunSummary:
     """Rebuild everything that comes from the files of ``day``."""
-    return run_days(spark, in_root, out_root, day, day, facts)
+    return run_days(spark, in_root, out_root, day, day, facts, clean)
 
 
 def run_days(
@@ -44,37 +54,50 @@ def run_days(
     first_day: str,
     last_day: str,
     facts=tuple(FACTS),
+    clean: bool = False,
 ) -> RunSummary:
     """Build facts from the files of a range of days, parsing each file once.
 
-    The parsed columns, with the time already split up, are persisted for the
-    builders; blocks lost with an executor are parsed again from their file. A single day is replaced as a
-    whole. A longer range replaces the (source_date, date) partitions it
-    produces, which is the same unless events were withdrawn from the files.
+    The parsed columns, with the time already split up, are written to shared
+    storage and the facts are built from there; that copy goes afterwards. Then
+    all that other runs, or a stream, had stored from the files of these days is
+    removed, also where this run has no rows. A run that fails before that has
+    its rows beside the old ones until it is repeated.
+
+    Lines without a usable time are kept in ``rejects`` beside the facts.
+    ``clean`` deletes the files of these days at the end.
     """
     facts = tuple(facts)
+    days, run = day_names(first_day, last_day), new_run()
     activity = read_activity(spark, in_root, first_day, last_day, input_schema(facts))
-    activity = with_event_time(activity).drop("created_at").persist(StorageLevel.MEMORY_AND_DISK)
-    try:
+    activity = with_event_time(activity).drop("created_at")
+    with staged(activity, out_root) as activity:
         seen = activity.agg(
             F.count(F.lit(1)).alias("rows_in"),
             F.count_if(F.col("event_ts").isNull()).alias("rejected"),
         ).first()
         for name in facts:
-            rows = BUILDERS[name](activity, carry=(SOURCE_DATE,))
-            write_fact(rows, out_root, name, day=first_day if first_day == last_day else None)
-    finally:
-        activity.unpersist()
-    written = {name: _stored_rows(spark, out_root, name, first_day, last_day) for name in facts}
+            write_fact(BUILDERS[name](activity, carry=(SOURCE_DATE,)), out_root, name, run)
+    for name in facts:
+        drop_other_runs(spark, out_root, name, days, run)
+    for day in days:
+        remove(spark, f"{out_root.rstrip('/')}/rejects/{SOURCE_DATE}={day}")
+    if seen.rejected:
+        rejected_lines(spark, in_root, first_day, last_day).write.mode("append").partitionBy(SOURCE_DATE).json(
+            f"{out_root.rstrip('/')}/rejects"
+        )
+    written = {name: _stored_rows(spark, out_root, name, run) for name in facts}
+    if clean:
+        for day in days:
+            remove_matching(spark, f"{in_root.rstrip('/')}/{day}-*{FILE_SUFFIX}")
     return RunSummary(seen.rows_in, seen.rejected, written)
 
 
-def _stored_rows(spark: SparkSession, root: str, name: str, first_day: str, last_day: str) -> int:
-    """Rows stored for the files of a range of days, from the Parquet footers."""
-    stored = spark.read.schema(FACTS[name]).parquet(f"{root.rstrip('/')}/{name}")
-    if SOURCE_DATE not in stored.columns:
+def _stored_rows(spark: SparkSession, root: str, name: str, run: str) -> int:
+    """Rows that a run has stored, from the Parquet footers."""
+    if not exists(spark, f"{root.rstrip('/')}/{name}"):
         return 0
-    return stored.where(F.col(SOURCE_DATE).between(first_day, last_day)).count()
+    return stored_fact(spark, root, name).where(F.col(BATCH) == run).count()
 
 
 METRICS = {
@@ -84,6 +107,18 @@ METRICS = {
     "members": ("members", member_ops.projects_gt10_members),
 }
 
+#: Further statistics, exported when they are asked for.
+STATISTICS = {
+    "members_hourly": ("members", member_ops.members_hourly),
+    "members_daily": ("members", lambda m: rollups.daily(member_ops.members_hourly(m))),
+    "commits_hourly": ("commits", commit_ops.commits_hourly),
+    "commits_daily": ("commits", lambda c: rollups.daily(commit_ops.commits_hourly(c))),
+    "commit_day_span": ("commits", commit_ops.commit_day_span),
+    "running_commits": ("commits", commit_ops.running_commits_per_day),
+    "repos_daily_rows": ("repos", owner_ops.repos_daily_rows),
+    "members_total": ("members", member_ops.projects_gt10_total),
+}
+
 
 def run_metrics(
     spark: SparkSession,
@@ -92,9 +127,23 @@ def run_metrics(
     run_date: str,
     date_from: str | None = None,
     date_to: str | None = None,
+    only=tuple(METRICS),
+    limit: int = 0,
 ) -> list[str]:
-    """Export every metric over all stored days, or over a range of them."""
-    return [
-        export_csv(metric(read_fact(spark, facts_root, fact, date_from, date_to)), out_root, name, run_date)
-        for name, (fact, metric) in METRICS.items()
-    ]
+    """Export metrics over all stored days, or over a range of them.
+
+    ``only`` names metrics or further statistics; a positive ``limit`` keeps the
+    first rows of each by its own order, as a page of top entries does.
+    """
+    known = METRICS | STATISTICS
+    if unknown := set(only) - known.keys():
+        raise ValueError(f"unknown metrics: {sorted(unknown)}")
+
+    def result(name: str):
+        fact, metric = known[name]
+        rows = read_fact(spark, facts_root, fact, date_from, date_to)
+        if limit > 0 and name == "commits_lt1":
+            return commit_ops.top_inactive_days(rows, limit)
+        return rollups.with_limit(metric(rows), limit)
+
+    return [export_csv(result(name), out_root, name, run_date) for name in only]

@@ -76,8 +76,9 @@ MEMBERS = _struct(
 
 FACTS = {"repos": REPOS, "commits": COMMITS, "members": MEMBERS}
 
-# Day of the file a row came from; the outer storage partition of batch facts.
+# Day of the file a row came from, and what wrote it: the outer and the inner storage partition.
 SOURCE_DATE = "source_date"
+BATCH = "batch"
 
 
 def input_schema(facts) -> T.StructType:

@@ -1,50 +1,105 @@
-"""Fact tables as partitioned Parquet, metric results as CSV."""
+"""Fact tables as partitioned Parquet, metric results as CSV.
+
+Facts lie in ``source_date=<day of the file>/date=<day of the event>/batch=<run>``.
+The innermost part is the batch run or the stream batch that wrote them, so runs
+never write over each other, and both kinds share one table.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import contextlib
+import uuid
+from collections.abc import Iterator
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from eventloom.schemas import BATCH, FACTS, SOURCE_DATE
+
+
+def _location(spark: SparkSession, target: str):
+    """The file system of ``target`` and its path there."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(target)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def remove(spark: SparkSession, target: str) -> None:
+    """Deletes a folder or file, if it is there."""
+    files, path = _location(spark, target)
+    files.delete(path, True)
 
-from eventloom.schemas import FACTS, SOURCE_DATE
 
+def exists(spark: SparkSession, target: str) -> bool:
+    files, path = _location(spark, target)
+    return files.exists(path)
+
+
+def remove_matching(spark: SparkSession, pattern: str) -> None:
+    """Deletes the files whose path fits a glob pattern."""
+    files, path = _location(spark, pattern)
+    for found in files.globStatus(path) or []:
+        files.delete(found.getPath(), True)
+
+
+@contextlib.contextmanager
+def staged(rows: DataFrame, root: str) -> Iterator[DataFrame]:
+    """``rows`` as a Parquet copy on shared storage, beside what is built from it, for the time of the block.
+
+    It lies in the folder that the cluster names in ``spark.checkpoint.dir``, or
+    under ``root``, which is shared as well. Lost executors lose none of it.
+    """
+    spark = rows.sparkSession
+    folder = (spark.conf.get("spark.checkpoint.dir", None) or root).rstrip("/")
+    target = f"{folder}/_staged-{uuid.uuid4().hex}"
+    try:
+        rows.write.parquet(target)
+        yield spark.read.schema(rows.schema).parquet(target)
+    finally:
+        remove(spark, target)
 
-def _write_partitions(rows: DataFrame, target: str, overwrite: str, *partitions: str) -> None:
-    """Rows of a partition are brought together first: otherwise each task writes
-    a small file to every day it has rows of. Large days are split again."""
-    rows.hint("rebalance", *partitions).write.mode("overwrite").option(
-        "partitionOverwriteMode", overwrite
-    ).partitionBy(*partitions).parquet(target)
 
+def new_run() -> str:
+    """A name for the partitions of one batch run."""
+    return f"run-{uuid.uuid4().hex}"
 
-def write_fact(rows: DataFrame, root: str, name: str, day: str | None = None) -> None:
-    """Store fact rows that carry ``source_date``; safe to run again.
 
-    Partitions are (source_date, date): replacing what came from a day's files
-    never touches events of that date that came from another day's files.
+def write_fact(rows: DataFrame, root: str, name: str, batch: str) -> None:
+    """Stores fact rows that carry ``source_date`` under ``batch``.
 
-    ``day`` replaces everything that came from that one day. Without it, each
-    (source_date, date) partition present in ``rows`` is replaced.
+    A repeated batch replaces its own partitions. Rows of a partition are
+    brought together first: otherwise each task writes a small file to every day
+    it has rows of. Large days are split again.
     """
-    target = f"{root.rstrip('/')}/{name}"
-    columns = FACTS[name].fieldNames()
-    if day:
-        out = rows.where(f"{SOURCE_DATE} = DATE'{day}'").select(*columns)
-        _write_partitions(out, f"{target}/{SOURCE_DATE}={day}", "static", "date")
-    else:
-        out = rows.select(SOURCE_DATE, *columns)
-        _write_partitions(out, target, "dynamic", SOURCE_DATE, "date")
+    out = rows.select(SOURCE_DATE, *FACTS[name].fieldNames(), F.lit(batch).alias(BATCH))
+    partitions = (SOURCE_DATE, "date", BATCH)
+    out.hint("rebalance", *partitions).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic"
+    ).partitionBy(*partitions).parquet(f"{root.rstrip('/')}/{name}")
 
 
-def write_batch(rows: DataFrame, root: str, name: str, batch_id: int) -> None:
-    """Store the fact rows of one stream batch; a repeated batch replaces itself."""
-    out = rows.select(*FACTS[name].fieldNames())
-    _write_partitions(out, f"{root.rstrip('/')}/{name}/batch_id={batch_id}", "static", "date")
+def drop_other_runs(spark: SparkSession, root: str, name: str, days: list[str], batch: str) -> None:
+    """Removes what other runs, or stream batches, have stored from the files of ``days``."""
+    for day in days:
+        files, path = _location(spark, f"{root.rstrip('/')}/{name}/{SOURCE_DATE}={day}/date=*/{BATCH}=*")
+        for found in files.globStatus(path) or []:
+            if found.getPath().getName() != f"{BATCH}={batch}":
+                files.delete(found.getPath(), True)
 
 
 def export_csv(rows: DataFrame, root: str, metric: str, date: str) -> str:
     """The whole result as CSV part files under ``<root>/<metric>_<date>``.
 
+    Text is kept exactly, outer blanks, quotes and line breaks included; a quote
+    within a field is doubled. An empty text is ``""`` and NULL an empty field.
     A sorted result stays sorted in the order of its part files.
     """
     target = f"{root.rstrip('/')}/{metric}_{date}"
-    rows.write.mode("overwrite").option("header", True).csv(target)
+    rows.write.mode("overwrite").options(
+        header=True,
+        escape='"',
+        ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False,
+        emptyValue='""',
+        nullValue="",
+    ).csv(target)
     return target

@@ -4,8 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from eventloom.schemas import FACTS, SOURCE_DATE
+from eventloom.operators.facts import merge_repos
+from eventloom.schemas import BATCH, DAY, FACTS, SOURCE_DATE, TEXT
+
+
+def stored_fact(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """The stored rows as they lie there, with their ``source_date`` and ``batch``."""
+    schema = T.StructType([*FACTS[name].fields, T.StructField(SOURCE_DATE, DAY), T.StructField(BATCH, TEXT)])
+    return spark.read.schema(schema).parquet(f"{root.rstrip('/')}/{name}")
 
 
 def read_fact(
@@ -18,25 +26,34 @@ def read_fact(
     """The fact ``name``, optionally of some days only (both ends included).
 
     ``date`` is a partition column, so a range is answered by listing only its
-    folders.
+    folders. Each file or stream batch has rolled up ``repos`` alone; here they
+    are merged to one row per date, hour and repository, after the range.
     """
-    schema = FACTS[name]
-    fact = spark.read.schema(schema).parquet(f"{root.rstrip('/')}/{name}")
+    fact = stored_fact(spark, root, name)
     if date_from:
         fact = fact.where(F.col("date") >= F.lit(date_from).cast("date"))
     if date_to:
         fact = fact.where(F.col("date") <= F.lit(date_to).cast("date"))
-    return fact.select(*schema.fieldNames())
+    fact = fact.select(*FACTS[name].fieldNames())
+    return merge_repos(fact) if name == "repos" else fact
 
 
 def create_fact_table(spark: SparkSession, root: str, name: str, table: str | None = None) -> str:
-    """Register a stored batch fact in the session catalog unless it is there."""
+    """Register a stored fact in the session catalog; a table of that name elsewhere is an error.
+
+    The table holds the rows as stored: ``repos`` has a row per file or stream
+    batch there, which ``operators.facts.merge_repos`` brings together.
+    """
     table = table or name
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in FACTS[name].fields)
     location = f"{root.rstrip('/')}/{name}"
+    if spark.catalog.tableExists(table):
+        detail = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").first()
+        if detail.data_type.removeprefix("file:") != location.removeprefix("file:"):
+            raise ValueError(f"table {table} is at {detail.data_type}, not at {location}")
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {table} (`{SOURCE_DATE}` DATE, {columns}) "
-        f"USING parquet PARTITIONED BY (`{SOURCE_DATE}`, `date`) LOCATION '{location}'"
+        f"CREATE TABLE IF NOT EXISTS {table} (`{SOURCE_DATE}` DATE, {columns}, `{BATCH}` STRING) "
+        f"USING parquet PARTITIONED BY (`{SOURCE_DATE}`, `date`, `{BATCH}`) LOCATION '{location}'"
     )
     spark.catalog.recoverPartitions(table)
     return table

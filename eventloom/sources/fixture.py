@@ -16,10 +16,15 @@ _IS_MEMBER = "event_type = 'signup'"
 
 
 def _commit(i: int) -> str:
-    name = f"concat('dev', (user_id * 7 + event_id + {i * 13}) % 1000)"
+    name = f"CASE WHEN (event_id + {i}) % 59 <> 0 THEN concat('dev', (user_id * 7 + event_id + {i * 13}) % 1000) END"
     return f"named_struct('author', named_struct('name', {name}))"
 
 
+def _time(shift: str, zone: str) -> str:
+    # From text: date_format would pass through the session time zone.
+    return f"concat(substring(replace(CAST(ts {shift} AS STRING), ' ', 'T'), 1, 19), '{zone}')"
+
+
 _ACTIVITY = {
     "id": "CAST(event_id AS STRING)",
     "type": f"""
@@ -27,8 +32,12 @@ _ACTIVITY = {
              WHEN {_IS_MEMBER} THEN 'MemberEvent'
              WHEN event_type = 'view' THEN 'WatchEvent'
              WHEN event_type = 'error' THEN 'IssuesEvent' END""",
-    # From text: date_format would pass through the session time zone.
-    "created_at": "concat(substring(replace(CAST(ts AS STRING), ' ', 'T'), 1, 19), 'Z')",
+    "created_at": f"""
+        CASE WHEN event_id % 301 = 11 THEN {_time("", "")}
+             WHEN event_id % 301 = 12 THEN NULL
+             WHEN event_id % 41 = 7 THEN {_time("+ INTERVAL '2' HOUR", "+02:00")}
+             WHEN event_id % 41 = 9 THEN {_time("- INTERVAL '05:30' HOUR TO MINUTE", "-0530")}
+             ELSE {_time("", "Z")} END""",
     "actor": """
         named_struct('id', user_id,
                      'login', concat('u', user_id),
@@ -41,6 +50,8 @@ _ACTIVITY = {
             'id', (event_id div 2) % 185,
             'name', CASE
                 WHEN event_id % 97 = 0 THEN 'noslash'
+                WHEN event_id % 89 = 0 THEN 'owner1/'
+                WHEN event_id % 83 = 0 THEN 'owner2/repo1/extra'
                 WHEN event_id % 10 = 0 THEN 'owner0/repo0'
                 WHEN (event_id div 4) % 37 < 5
                     THEN concat('owner', (event_id div 4) % 37, '/repo0')
@@ -50,12 +61,12 @@ _ACTIVITY = {
             'action', CASE WHEN {_IS_MEMBER} THEN if(event_id % 6 = 0, 'removed', 'added') END,
             'member', CASE WHEN {_IS_MEMBER} THEN named_struct(
                 'id', user_id, 'login', concat('m', user_id), 'type', 'User') END,
-            'commits', CASE WHEN {_IS_PUSH} THEN
+            'commits', CASE WHEN {_IS_PUSH} AND event_id % 61 <> 3 THEN
                 slice(array({_commit(0)}, {_commit(1)}, {_commit(2)}),
                       1, CAST(event_id % 4 AS INT)) END,
-            'ref', CAST(NULL AS STRING),
-            'ref_type', CAST(NULL AS STRING),
-            'review', CAST(NULL AS STRING))""",
+            'ref', CASE WHEN {_IS_PUSH} THEN concat('refs/heads/b', event_id % 3) END,
+            'ref_type', CASE WHEN event_id % 5 = 0 THEN 'branch' WHEN event_id % 5 = 1 THEN 'tag' END,
+            'review', CASE WHEN event_type = 'error' THEN concat('state', event_id % 2) END)""",
 }
 
 

@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventloom.functions.calendar import FILE_SUFFIX, day_names
+from eventloom.functions.calendar import FILE_SUFFIX, day_names, hour_file_name
+from eventloom.functions.columns import utc_timestamp
 from eventloom.schemas import ACTIVITY, SOURCE_DATE
 
 _ANY_AGE = "36500d"
@@ -33,14 +34,53 @@ def read_activity(
     The days become a file-name filter of one scan: other files are dropped
     when the folder is listed. No matching file gives an empty frame.
     """
-    pattern = f"*{FILE_SUFFIX}"
-    if first_day:
-        days = day_names(first_day, last_day or first_day)
-        pattern = f"{{{','.join(days)}}}-{pattern}"
-    reader = spark.read.schema(schema).option("pathGlobFilter", pattern)
+    reader = spark.read.schema(schema).option("pathGlobFilter", _day_files(first_day, last_day))
     return _with_source_date(reader.json(root))
 
 
+def _day_files(first_day: str | None, last_day: str | None) -> str:
+    if last_day and not first_day:
+        raise ValueError("last_day needs first_day")
+    if not first_day:
+        return f"*{FILE_SUFFIX}"
+    return f"{{{','.join(day_names(first_day, last_day or first_day))}}}-*{FILE_SUFFIX}"
+
+
+def rejected_lines(
+    spark: SparkSession, root: str, first_day: str | None = None, last_day: str | None = None
+) -> DataFrame:
+    """The raw lines that give no event time: (source_date, file_name, line).
+
+    Broken JSON is among them, as are times that are missing, malformed or
+    without a zone. Reads the files as text.
+    """
+    lines = spark.read.option("pathGlobFilter", _day_files(first_day, last_day)).text(root)
+    lines = _with_source_date(lines).select(SOURCE_DATE, F.col("_metadata.file_name").alias("file_name"), F.col("value").alias("line"))
+    # Parsed in the mode of the events, so a line is broken here if it is broken there.
+    parsed = F.from_json("line", T.StructType([T.StructField("created_at", T.StringType())]))
+    usable = utc_timestamp(parsed["created_at"]).isNotNull()
+    return lines.where((F.trim("line") != "") & ~usable)
+
+
+def missing_files(spark: SparkSession, root: str, first_day: str, last_day: str | None = None) -> DataFrame:
+    """Hourly files of the days that are not in ``root``: (date, hour, file_name), in order.
+
+    Only names are listed, no content is read, and the days are those asked
+    for: a day without any file is missing as a whole.
+    """
+    landed = (
+        spark.read.format("binaryFile").option("pathGlobFilter", f"*{FILE_SUFFIX}").load(root)
+        .select(F.element_at(F.split("path", "/"), -1).alias("file_name"))
+    )
+    days = F.sequence(F.lit(first_day).cast("date"), F.lit(last_day or first_day).cast("date"))
+    hours = (
+        spark.range(1).select(F.explode(days).alias("date"))
+        .select("date", F.explode(F.sequence(F.lit(0), F.lit(23))).alias("hour"))
+        .withColumn("file_name", hour_file_name(F.col("date"), F.col("hour")))
+    )
+    return hours.join(landed, "file_name", "left_anti").select("date", "hour", "file_name").orderBy("date", "hour")
+
+
 def read_latest_hours(
     spark: SparkSession, root: str, n: int, schema: T.StructType = ACTIVITY
 ) -> DataFrame:
@@ -78,7 +118,8 @@ def stream_activity(
     ``clean_source`` is ``off``, ``delete`` or ``archive`` (to ``archive_dir``)
     and applies to files of completed batches. A file counts as new by its name
     alone: by default Spark would pass over one that landed with a time stamp
-    more than a week behind the newest, and lose its events.
+    more than a week behind the newest, and lose its events. So the names of all
+    files ever read stay in the driver's memory and in the progress: one per hour.
     """
     reader = (
         spark.readStream.schema(schema)

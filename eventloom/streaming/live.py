@@ -4,16 +4,30 @@ from __future__ import annotations
 
 import hashlib
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from eventloom.functions.columns import utc_timestamp, with_event_time, with_repo_columns
 from eventloom.operators.facts import BUILDERS
-from eventloom.schemas import FACTS
+from eventloom.schemas import BATCH, FACTS, SOURCE_DATE
 from eventloom.session import checkpoint_location
-from eventloom.sinks.files import write_batch
+from eventloom.sinks.files import exists, staged, write_fact
+from eventloom.sources.facts import stored_fact
+
+
+_STREAM = "stream-"
+
+
+def _progress(name: str, *parts: str) -> str:
+    digest = hashlib.sha256("\n".join(parts).encode()).hexdigest()[:16]
+    return f"{name}-{digest}"
+
+
+def _holds_stream_batches(spark: SparkSession, root: str, name: str) -> bool:
+    if not exists(spark, f"{root.rstrip('/')}/{name}"):
+        return False
+    return not stored_fact(spark, root, name).where(F.col(BATCH).startswith(_STREAM)).isEmpty()
 
 
 def stream_facts(
@@ -22,45 +36,54 @@ def stream_facts(
     checkpoint: str | None = None,
     facts=tuple(FACTS),
     trigger: dict | None = None,
+    afresh: bool = False,
 ) -> StreamingQuery:
     """Append each batch of newly landed events to the facts.
 
-    One query parses each file once for all facts. A batch is stored under its
-    number and replaces itself when repeated after a failure, so nothing is
-    doubled or lost, however late it arrives. ``repos`` rows are rolled up per
-    batch: combine them with ``merge_repos`` where an hour may span batches.
+    One query parses each file once for all its facts. A batch is stored under
+    the identity of the query's progress and its number, and replaces itself
+    when repeated after a failure, so nothing is doubled or lost, however late
+    it arrives. A batch run over the same days takes them over later.
 
-    Progress belongs to ``out_root``: each output has a folder of its own in
-    the cluster's checkpoint folder, or in ``checkpoint`` if there is none.
+    Progress belongs to ``out_root`` and the set of facts: each has a folder of
+    its own in the cluster's checkpoint folder, or in ``checkpoint`` if there is
+    none. Without progress every file counts as new. Where the facts hold stream
+    batches already, those files would then be stored twice, so this is refused
+    unless ``afresh`` says that the files read before are gone.
     """
-    progress = f"facts-{hashlib.sha256(out_root.rstrip('/').encode()).hexdigest()[:16]}"
+    spark, facts = activity.sparkSession, tuple(facts)
+    where = checkpoint_location(spark, _progress("facts", out_root.rstrip("/"), *sorted(facts)), checkpoint)
+    if not afresh and not exists(spark, f"{where}/metadata"):
+        held = [name for name in facts if _holds_stream_batches(spark, out_root, name)]
+        if held:
+            raise ValueError(
+                f"{out_root} holds stream batches of {', '.join(held)}, but there is no progress at {where}: "
+                "files would be read again; name the old checkpoint, or start afresh if they are gone"
+            )
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        batch = with_event_time(batch).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
+        # The query's identity lies with its progress and outlives restarts.
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        with staged(with_event_time(batch), out_root) as rows:
             for name in facts:
-                write_batch(BUILDERS[name](batch), out_root, name, batch_id)
-        finally:
-            batch.unpersist()
+                built = BUILDERS[name](rows, carry=(SOURCE_DATE,))
+                write_fact(built, out_root, name, f"{_STREAM}{query}-{batch_id}")
 
     return (
         activity.writeStream.foreachBatch(store)
-        .option(
-            "checkpointLocation", checkpoint_location(activity.sparkSession, progress, checkpoint)
-        )
+        .option("checkpointLocation", where)
         .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
 
 
 def _with_watermark(activity: DataFrame, late: str) -> DataFrame:
-    # Watermarks need TIMESTAMP; the zone in the text makes it an exact instant.
-    usable = utc_timestamp(F.col("created_at")).isNotNull()
-    return (
-        activity.where(usable)
-        .withColumn("event_time", F.col("created_at").try_cast("timestamp"))
-        .withWatermark("event_time", late)
-    )
+    # Watermarks need TIMESTAMP: the instant of the UTC wall-clock time.
+    utc = F.col("utc")
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    instant = F.timestamp_micros(F.timestamp_diff("MICROSECOND", epoch, utc))
+    timed = activity.withColumn("utc", utc_timestamp(F.col("created_at"))).where(utc.isNotNull())
+    return timed.withColumn("event_time", instant).withWatermark("event_time", late)
 
 
 def _utc(instant: Column) -> Column:
@@ -94,3 +117,62 @@ def stream_repos(activity: DataFrame, late: str = "1 hour") -> DataFrame:
         .agg(F.count(F.lit(1)).alias("total_events"))
     )
     return _hour_parts(counts, "repo_author", "repo_name")
+
+
+LIVE = {"hourly_counts": stream_hourly_counts, "repos": stream_repos}
+
+
+class _Dropped(StreamingQueryListener):
+    """Adds up what the watermark of one query drops."""
+
+    def __init__(self) -> None:
+        self.rows: dict[str, int] = {}
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        lost = sum(o.numRowsDroppedByWatermark for o in event.progress.stateOperators)
+        self.rows[str(event.progress.id)] = self.rows.get(str(event.progress.id), 0) + lost
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
+def run_live(
+    activity: DataFrame,
+    out_root: str,
+    checkpoint: str | None = None,
+    late: str = "1 hour",
+    only=tuple(LIVE),
+    trigger: dict | None = None,
+) -> dict[str, int]:
+    """Store complete hours of the live counts as Parquet under ``out_root``; returns what came too late.
+
+    An hour is stored once nothing within ``late`` of the newest event can
+    belong to it. The numbers are of groups (an hour with a type, or a
+    repository) that a batch of files had for hours already closed: choose
+    ``late`` longer, or count from the facts, which keep everything.
+    """
+    spark, root = activity.sparkSession, out_root.rstrip("/")
+    dropped, queries = _Dropped(), {}
+    spark.streams.addListener(dropped)
+    try:
+        for name in only:
+            where = checkpoint_location(spark, _progress(f"live-{name}", root, late), checkpoint)
+            queries[name] = (
+                LIVE[name](activity, late)
+                .writeStream.outputMode("append").format("parquet")
+                .option("path", f"{root}/{name}").option("checkpointLocation", where)
+                .trigger(**(trigger or {"availableNow": True}))
+                .start()
+            )
+        for query in queries.values():
+            query.awaitTermination()
+        spark._jsc.sc().listenerBus().waitUntilEmpty(60_000)
+    finally:
+        spark.streams.removeListener(dropped)
+    return {name: dropped.rows.get(str(query.id), 0) for name, query in queries.items()}

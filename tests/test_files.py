@@ -13,10 +13,17 @@ from pyspark.sql import functions as F
 from eventloom import schemas
 from eventloom.operators import commits as commit_ops
 from eventloom.operators import owners as owner_ops
-from eventloom.operators.facts import BUILDERS, merge_repos
-from eventloom.plans.daily import run_day, run_days, run_metrics
+from eventloom.operators.facts import BUILDERS
+from eventloom.plans.daily import STATISTICS, run_day, run_days, run_metrics
 from eventloom.sinks.files import export_csv, write_fact
-from eventloom.sources import create_fact_table, read_activity, read_fact, read_latest_hours
+from eventloom.sources import (
+    create_fact_table,
+    missing_files,
+    read_activity,
+    read_fact,
+    read_latest_hours,
+    stored_fact,
+)
 
 
 def push(at, repo="ann/tools", authors=("Ann",), **extra):
@@ -139,9 +146,8 @@ def test_range_equals_single_days_and_builders(spark, landed, tmp_path):
     for name, build in BUILDERS.items():
         stored = rows(read_fact(spark, at_once, name))
         assert rows(read_fact(spark, one_by_one, name)) == stored
-        assert summary.rows_out[name] == sum(stored.values())
-        whole = rows(build(activity))
-        assert (rows(merge_repos(read_fact(spark, at_once, name))) if name == "repos" else stored) == whole
+        assert summary.rows_out[name] == stored_fact(spark, at_once, name).count()
+        assert stored == rows(build(activity))
 
 
 def test_one_file_per_day_unless_the_day_is_large(spark, tmp_path):
@@ -152,15 +158,75 @@ def test_one_file_per_day_unless_the_day_is_large(spark, tmp_path):
     before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2MB")
     try:
-        write_fact(days, str(tmp_path), "commits")
+        write_fact(days, str(tmp_path), "commits", "run-1")
     finally:
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
-    files = Counter(p.parent.name for p in tmp_path.rglob("part-*.parquet"))
+    files = Counter(p.parent.parent.name for p in tmp_path.rglob("part-*.parquet"))
     assert files.pop("date=2024-02-01") > 3
     assert files == {f"date=2024-01-0{d}": 1 for d in (1, 2, 3)}
     assert read_fact(spark, str(tmp_path), "commits").count() == 300_000
 
 
+def test_a_range_rerun_equals_reruns_of_its_days(spark, landed, tmp_path):
+    """A file withdrawn, a date gone, and a whole day emptied."""
+    corrected = tmp_path / "corrected"
+    corrected.mkdir()
+    land(corrected, "2024-01-01-0", [push("2024-01-01T00:00:00Z")])
+    land(corrected, "2024-01-03-10", [push("2024-01-03T10:00:00Z")])
+    outs = [str(tmp_path / name) for name in "ab"]
+    for out in outs:
+        run_days(spark, landed, out, "2024-01-01", "2024-01-03")
+    summary = run_days(spark, str(corrected), outs[0], "2024-01-01", "2024-01-02")
+    for day in ("2024-01-01", "2024-01-02"):
+        run_day(spark, str(corrected), outs[1], day)
+    assert summary.rows_out == {"repos": 1, "commits": 1, "members": 0} and summary.rows_in == 1
+    for name in schemas.FACTS:
+        assert rows(read_fact(spark, outs[0], name)) == rows(read_fact(spark, outs[1], name))
+    assert sorted(str(r.date) for r in read_fact(spark, outs[0], "commits").collect()) == ["2024-01-01", "2024-01-03"]
+    assert run_days(spark, str(corrected), outs[0], "2024-01-02", "2024-01-03").rows_out["commits"] == 1
+    assert read_fact(spark, outs[0], "commits").count() == 2
+
+
+def test_nothing_staged_is_left_and_nothing_is_persisted(spark, landed, tmp_path):
+    out = tmp_path / "facts"
+    run_days(spark, landed, str(out), "2024-01-01", "2024-01-03")
+    assert sorted(p.name for p in out.iterdir() if not p.name.startswith(".")) == ["commits", "members", "rejects", "repos"]
+    assert spark.sparkContext._jsc.getPersistentRDDs().isEmpty()
+
+
+def test_rejected_lines_are_kept_with_their_file(spark, landed, tmp_path):
+    out = tmp_path / "facts"
+    for _ in range(2):
+        run_days(spark, landed, str(out), "2024-01-01", "2024-01-03")
+        kept = spark.read.json(str(out / "rejects")).collect()
+        assert {r.file_name for r in kept} == {"2024-01-01-23.json.gz"} and len(kept) == 2
+        assert "{broken" in {r.line for r in kept} and any("not-a-time" in r.line for r in kept)
+
+
+def test_files_can_be_deleted_after_a_run(spark, landed, tmp_path):
+    import pathlib
+
+    run_days(spark, landed, str(tmp_path / "facts"), "2024-01-01", "2024-01-02", clean=True)
+    assert [p.name for p in pathlib.Path(landed).glob("*.gz")] == ["2024-01-03-10.json.gz"]
+    assert read_fact(spark, str(tmp_path / "facts"), "commits").count() == 7
+
+
+def test_missing_files_go_by_names(spark, landed):
+    """2024-01-02-0 has not landed, though the day before has an event of that hour."""
+    got = missing_files(spark, landed, "2024-01-01", "2024-01-04").collect()
+    names = [r.file_name for r in got]
+    assert len(names) == 4 * 24 - 4
+    assert "2024-01-02-0.json.gz" in names and "2024-01-04-23.json.gz" in names
+    assert not {"2024-01-01-0.json.gz", "2024-01-01-23.json.gz", "2024-01-02-9.json.gz", "2024-01-03-10.json.gz"} & set(names)
+    assert [(r.date, r.hour) for r in got] == sorted((r.date, r.hour) for r in got)
+    assert missing_files(spark, landed, "2024-01-03").count() == 23
+
+
+def test_a_last_day_needs_a_first_day(spark, landed):
+    with pytest.raises(ValueError):
+        read_activity(spark, landed, last_day="2024-01-02")
+
+
 def test_withdrawn_events_disappear_with_a_rerun_of_their_day(spark, landed, tmp_path):
     out = str(tmp_path / "facts")
     run_day(spark, landed, out, "2024-01-01")
@@ -180,7 +246,7 @@ def test_a_day_without_files_is_stored_as_empty(spark, landed, tmp_path):
 def test_one_fact_per_job(spark, landed, tmp_path):
     out = tmp_path / "facts"
     assert run_day(spark, landed, str(out), "2024-01-01", facts=("commits",)).rows_out == {"commits": 5}
-    assert [p.name for p in out.iterdir()] == ["commits"]
+    assert [p.name for p in out.iterdir() if p.name != "rejects"] == ["commits"]
     with pytest.raises(ValueError):
         run_day(spark, landed, str(out), "2024-01-01", facts=("stars",))
 
@@ -204,9 +270,37 @@ def test_days_of_a_stored_fact_are_read_off_its_partitions(spark, landed, tmp_pa
     rows_per_day = owner_ops.repos_daily_rows(read_fact(spark, out, "repos"))
     assert [tuple(r) for r in rows_per_day.collect()] == [
         (dt.date(2024, 1, 3), 1), (dt.date(2024, 1, 2), 3), (dt.date(2024, 1, 1), 3)]
-    for df in (span, rows_per_day):
-        df.explain("formatted")
-        assert "ReadSchema: struct<>" in capsys.readouterr().out
+    assert rows(rows_per_day) == rows(owner_ops.repos_daily_rows(BUILDERS["repos"](read_activity(spark, landed))))
+    span.explain("formatted")
+    assert "ReadSchema: struct<>" in capsys.readouterr().out
+
+
+def test_stored_repos_of_one_hour_in_files_of_two_days(spark, tmp_path):
+    root, out = tmp_path / "in", str(tmp_path / "facts")
+    root.mkdir()
+    land(root, "2024-01-01-23", [push("2024-01-02T00:00:01Z"), push("2024-01-01T23:00:00Z")])
+    land(root, "2024-01-02-0", [push("2024-01-02T00:00:02Z"), push("2024-01-02T00:00:03Z", repo="ann/other")])
+    run_days(spark, str(root), out, "2024-01-01", "2024-01-02")
+    repos = read_fact(spark, out, "repos")
+    assert rows(repos) == rows(BUILDERS["repos"](read_activity(spark, str(root))))
+    assert {str(r.date): r.total for r in owner_ops.repos_daily_rows(repos).collect()} == {"2024-01-01": 1, "2024-01-02": 2}
+    one_day = read_fact(spark, out, "repos", "2024-01-02", "2024-01-02")
+    assert "PartitionFilters: [isnotnull(date" in one_day._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+
+
+def test_csv_keeps_text_exactly(spark, tmp_path):
+    import csv
+
+    names = [" Ann ", 'An"n', "a,b", "line\nbreak", "", None, "\\", '"', "tab\t", "quote\"\ncomma, "]
+    frame = spark.createDataFrame([(i, n) for i, n in enumerate(names)], "i int, name string").coalesce(1)
+    target = export_csv(frame, str(tmp_path), "names", "2024-01-31")
+    (part,) = [p for p in (tmp_path / "names_2024-01-31").glob("part-*.csv")]
+    text = part.read_text()
+    with open(part, newline="") as source:
+        assert [r[1] for r in csv.reader(source)] == ["name", *(n or "" for n in names)]
+    assert '4,""' in text and "5,\n" in text  # empty and NULL differ
+    assert target.endswith("names_2024-01-31")
 
 
 def test_stored_table_in_the_catalog(spark, landed, tmp_path):
@@ -246,5 +340,11 @@ def test_metric_files(spark, landed, tmp_path):
     assert rows(idle) == rows(
         commit_ops.inactive_days(read_fact(spark, out, "commits"))
         .withColumn("interval_start_dt", F.col("interval_start_dt").cast("string")))
+    some = run_metrics(spark, out, str(tmp_path / "csv3"), "2024-01-03", only=("commits_hourly", "commits_lt1"), limit=1)
+    assert [spark.read.option("header", True).csv(t).count() for t in some] == [1, 1]
+    every = run_metrics(spark, out, str(tmp_path / "csv4"), "2024-01-03", only=tuple(STATISTICS))
+    assert len(every) == len(STATISTICS)
+    with pytest.raises(ValueError):
+        run_metrics(spark, out, str(tmp_path / "csv5"), "2024-01-03", only=("stars",))
     some = run_metrics(spark, out, str(tmp_path / "csv2"), "2024-01-03", "2024-01-02", "2024-01-03")
     assert spark.read.option("header", True).csv(some[1]).count() == 0

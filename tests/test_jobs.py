@@ -21,6 +21,12 @@ def test_command_line_runs_the_jobs(spark, landed, tmp_path, capsys, monkeypatch
     assert read_fact(spark, facts_root, "commits").count() == 8
     cli.main(["metrics", facts_root, str(tmp_path / "csv"), "2024-01-03", "--from", "2024-01-01"])
     assert len(capsys.readouterr().out.splitlines()) == 4
+    cli.main(["missing", landed, "2024-01-03"])
+    assert len(capsys.readouterr().out.split()) == 23
+    cli.main(["metrics", facts_root, str(tmp_path / "csv2"), "2024-01-03", "--only", "commits_hourly", "members_daily", "--limit", "2"])
+    assert len(capsys.readouterr().out.splitlines()) == 2
+    cli.main(["live", landed, str(tmp_path / f"live-{uuid.uuid4().hex}"), "--checkpoint", str(tmp_path / "progress")])
+    assert capsys.readouterr().out.count("came too late") == 2
     streamed = str(tmp_path / f"streamed-{uuid.uuid4().hex}")
     cli.main(["follow", landed, streamed, "--checkpoint", str(tmp_path / "progress"), "--facts", "commits"])
     assert read_fact(spark, streamed, "commits").count() == 8

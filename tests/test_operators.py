@@ -68,19 +68,36 @@ def test_day_and_hour_do_not_depend_on_the_session_zone(spark, zone):
         (dt.datetime(2024, 3, 10, 2, 30), dt.date(2024, 3, 10), 2)]
 
 
+def test_times_with_an_offset_are_told_in_utc(spark, zone):
+    times = {"2024-01-02T01:00:00+02:00": (2024, 1, 1, 23), "2024-01-01T20:30:00-0330": (2024, 1, 2, 0),
+             "2024-03-10T02:30:00+00:00": (2024, 3, 10, 2), "2024-03-31T03:30:00+0200": (2024, 3, 31, 1)}
+    frame = activity(spark, *[event("PushEvent", t, authors=["a"]) for t in times])
+    got = {r.created_at: r for r in with_event_time(frame).collect()}
+    for text, (y, m, d, h) in times.items():
+        assert (got[text].date, got[text].hour) == (dt.date(y, m, d), h)
+        assert got[text].event_ts == dt.datetime(y, m, d, h, 0 if text.endswith("+02:00") or text.endswith("0330") else 30)
+    assert facts.build_commits(frame).count() == 4 and facts.rejects(frame).count() == 0
+
+
+def test_activity_with_one_time_column_only(spark):
+    frame = activity(spark, event("PushEvent", "2024-01-01T00:00:00Z", authors=["a"])).withColumn("date", F.lit("2023-01-01").cast("date"))
+    for build in facts.BUILDERS.values():
+        assert {r.date for r in build(frame).collect()} <= {DAY}
+
+
 @pytest.mark.parametrize("ansi", ["true", "false"])
 def test_unusable_times_are_rejects_and_enter_no_fact(spark, ansi):
     before = spark.conf.get("spark.sql.ansi.enabled")
     spark.conf.set("spark.sql.ansi.enabled", ansi)
     try:
-        bad = ["not-a-time", "2024-01-01T00:00:00+02:00", "2024-01-01T00:00:00", None, "Z"]
+        bad = ["not-a-time", "2024-01-01T00:00:00+99:00", "2024-01-01T00:00:00", None, "Z", "2024-01-01T00:00+"]
         frame = activity(spark, event("PushEvent", "2024-01-01T00:00:00Z", authors=["a"]),
                          *[event("PushEvent", b, authors=["a"]) for b in bad])
         assert facts.rejects(frame).count() == len(bad)
         assert facts.build_commits(frame).count() == 1
         assert facts.build_repos(frame).collect()[0].total_events == 1
         out = {r.fact: (r.rows_in, r.rows_out) for r in facts.reduction_ratio(frame).collect()}
-        assert out == {"repos": (6, 1), "commits": (6, 1), "members": (6, 0)}
+        assert out == {"repos": (7, 1), "commits": (7, 1), "members": (7, 0)}
     finally:
         spark.conf.set("spark.sql.ansi.enabled", before)
 
@@ -120,7 +137,7 @@ def brute_facts(events):
     repos, commits, added = Counter(), Counter(), Counter()
     for _, kind, at, actor, org, repo, payload in events:
         try:
-            time = dt.datetime.strptime(at or "", "%Y-%m-%dT%H:%M:%SZ")
+            time = dt.datetime.strptime(at or "", "%Y-%m-%dT%H:%M:%S%z").astimezone(dt.UTC).replace(tzinfo=None)
         except ValueError:
             continue
         name = repo[1]
@@ -141,7 +158,7 @@ EVENTS = st.builds(
     event,
     st.sampled_from(["PushEvent", "MemberEvent", "WatchEvent"]),
     st.sampled_from(["2024-01-01T00:00:00Z", "2024-01-01T23:59:59Z", "2024-01-02T00:00:00Z", "bad",
-                     "2024-01-01T00:00:00+01:00", None]),
+                     "2024-01-01T00:00:00+01:00", "2024-01-01T22:30:00-0330", "2024-01-02T00:00:00", None]),
     st.sampled_from(["a/x", "a/y", "b/x", "a", "a/x/z", "/x", "a/", None]),
     st.none() | st.lists(st.sampled_from(["Ann", "Bo", None]), max_size=3),
     st.sampled_from(["added", "removed", None]),
@@ -177,6 +194,13 @@ def test_commits_of_one_instant_share_the_running_count(spark):
         ("a", 1, 5, 2), ("a", 1, 5, 2), ("a", 1, 9, 3), ("a", 2, 0, 1), ("b", 1, 5, 1)]
 
 
+def test_instants_within_a_second_are_apart(spark):
+    at = dt.datetime.combine(DAY, dt.time())
+    frame = spark.createDataFrame([(DAY, at + dt.timedelta(microseconds=m), "a") for m in (5, 1, 5, 9)], schemas.COMMITS)
+    got = sorted((r.created_at.microsecond, r.sum_commits) for r in commit_ops.running_commits_per_day(frame).collect())
+    assert got == [(1, 1), (5, 3), (5, 3), (9, 4)]
+
+
 def test_running_count_keeps_every_commit_of_a_crowded_instant(spark, monkeypatch):
     monkeypatch.setattr(commit_ops, "_EXPAND_AT_ONCE", 3)
     sizes = {0: 1, 1: 2, 2: 3, 3: 4, 4: 6, 5: 7, 6: 10}
@@ -242,17 +266,19 @@ def sample(spark):
 
 def test_results_do_not_depend_on_the_session_zone(spark, sample, zone):
     commits = facts.build_commits(sample)
-    assert facts.build_repos(sample).count() == 5_689
-    assert commit_ops.inactive_days(commits).count() == 24_471
-    assert rollups.hourly(commits).count() == 711
+    assert facts.build_repos(sample).count() == 5_857
+    assert commit_ops.inactive_days(commits).count() == 24_638
+    assert rollups.hourly(commits).count() == 710
 
 
 def test_event_totals_agree(spark, sample):
     total = sample.count()
     assert profile.activity_count(sample).first()[0] == total
     repos = facts.build_repos(sample)
-    assert repos.agg(F.sum("total_events")).first()[0] == total
-    assert facts.merge_repos(repos.unionByName(repos)).agg(F.sum("total_events")).first()[0] == 2 * total
+    timed = total - facts.rejects(sample).count()
+    assert total - timed == 68
+    assert repos.agg(F.sum("total_events")).first()[0] == timed
+    assert facts.merge_repos(repos.unionByName(repos)).agg(F.sum("total_events")).first()[0] == 2 * timed
     for counts in (profile.events_per_hour, profile.events_per_type, profile.events_per_repo):
         assert counts(sample).agg(F.sum("total_events")).first()[0] == total
 

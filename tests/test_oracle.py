@@ -15,12 +15,12 @@ from tests.conftest import TESTDATA
 TABLES = "events documents embeddings pages labels".split()
 
 EXPECTED_ROWS = {
-    "sf0.001": {"repos_hourly": 797, "commits_fact": 611, "members_fact": 163,
-                "repo_owners_gt1": 32, "commits_ge2_per_day": 45, "commits_le1_per_day": 517,
-                "inactive_days": 13_328, "projects_gt10_members": 0},
-    "sf0.01": {"repos_hourly": 5_689, "commits_fact": 5_955, "members_fact": 1_680,
-               "repo_owners_gt1": 32, "commits_ge2_per_day": 485, "commits_le1_per_day": 4_954,
-               "inactive_days": 24_471, "projects_gt10_members": 42, "missing_hours": 58},
+    "sf0.001": {"repos_hourly": 803, "commits_fact": 586, "members_fact": 163,
+                "repo_owners_gt1": 34, "commits_ge2_per_day": 38, "commits_le1_per_day": 507,
+                "inactive_days": 12_723, "projects_gt10_members": 0},
+    "sf0.01": {"repos_hourly": 5_857, "commits_fact": 5_820, "members_fact": 1_672,
+               "repo_owners_gt1": 34, "commits_ge2_per_day": 480, "commits_le1_per_day": 4_792,
+               "inactive_days": 24_638, "projects_gt10_members": 42, "missing_hours": 0},
 }
 SPARK_TO_DUCKDB = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "date": "DATE",
                    "timestamp_ntz": "TIMESTAMP", "double": "DOUBLE"}
@@ -66,4 +66,4 @@ def test_matches_oracle(spark, name, sf):
 
 
 def test_entry(spark):
-    assert entry(spark).count() == 32
+    assert entry(spark).count() == 34

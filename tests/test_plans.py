@@ -6,8 +6,8 @@ import re
 
 import pytest
 
-from __spark_entry__ import queries
 from eventloom.operators import facts, owners
+from eventloom.plans.catalog import QUERIES
 from eventloom.sources import read_events_activity
 from tests.conftest import TESTDATA
 
@@ -52,9 +52,9 @@ def read_schemas(df) -> list[str]:
     return found
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_python_worker_no_product_and_pruned_columns(spark, name):
-    plan = initial_plan(queries()[name](spark, SF))
+    plan = initial_plan(QUERIES[name](spark, SF))
     for node in ("PythonUDF", "ArrowEval", "BatchEvalPython", "MapInPandas", "CartesianProduct",
                  "BroadcastNestedLoopJoin", "Scan ExistingRDD"):
         assert node not in plan
@@ -71,19 +71,19 @@ def test_builders_do_not_sort(spark, name):
 
 @pytest.mark.parametrize("name", ["top_repo_owners", "top_commit_days", "top_inactive_days", "top_projects"])
 def test_top_k_keeps_k_rows_per_task_instead_of_sorting(spark, name):
-    plan = initial_plan(queries()[name](spark, SF))
+    plan = initial_plan(QUERIES[name](spark, SF))
     assert "TakeOrderedAndProject(limit=100" in plan
     assert "rangepartitioning" not in plan
 
 
 @pytest.mark.parametrize("name", ["repo_owner_total", "projects_gt10_total"])
 def test_a_sort_below_a_count_is_dropped(spark, name):
-    assert "rangepartitioning" not in initial_plan(queries()[name](spark, SF))
+    assert "rangepartitioning" not in initial_plan(QUERIES[name](spark, SF))
 
 
 @pytest.mark.parametrize("name", ["commits_daily", "members_daily"])
 def test_daily_sums_sort_days_only(spark, name):
-    assert initial_plan(queries()[name](spark, SF)).count("rangepartitioning") == 1
+    assert initial_plan(QUERIES[name](spark, SF)).count("rangepartitioning") == 1
 
 
 def test_distinct_counts_ignore_the_rollup_below_them(spark):
@@ -102,12 +102,14 @@ def test_a_hot_owner_is_spread_over_names_before_it_is_counted(spark):
 @pytest.mark.parametrize("name", ["inactive_days", "top_inactive_days", "missing_hours",
                                   "running_commits_per_day", "reduction_ratio", "commits_daily"])
 def test_the_events_are_scanned_once(spark, name):
-    assert scans_run(queries()[name](spark, SF)) == 1
+    assert scans_run(QUERIES[name](spark, SF)) == 1
 
 
 def test_running_count_windows_over_counted_instants(spark):
-    plan = initial_plan(queries()["running_commits_per_day"](spark, SF))
+    plan = initial_plan(QUERIES["running_commits_per_day"](spark, SF))
     assert plan.index("Window") < plan.index("partial_count(1)")
+    # Before adaptive execution drops anything: one window, one sort.
+    assert len(re.findall(r"\bWindow \[", plan)) == 1 and len(re.findall(r"\bSort \[", plan)) == 1
 
 
 @pytest.fixture(scope="module")

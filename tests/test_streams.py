@@ -12,7 +12,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from eventloom import schemas
-from eventloom.operators.facts import BUILDERS, build_repos, merge_repos
+from eventloom.operators.facts import BUILDERS, build_repos
+from eventloom.plans.daily import run_days
 from eventloom.session import checkpoint_location
 from eventloom.sources import read_activity, read_fact, stream_activity
 from eventloom.streaming import live, stream_facts, stream_hourly_counts, stream_repos
@@ -38,9 +39,18 @@ def run_to_memory(df, name, fallback):
 
 
 def facts_of(spark, out):
-    stored = {name: read_fact(spark, out, name) for name in schemas.FACTS}
-    stored["repos"] = merge_repos(stored["repos"])
-    return {name: rows(df) for name, df in stored.items()}
+    return {name: rows(read_fact(spark, out, name)) for name in schemas.FACTS}
+
+
+def built(spark, landed):
+    activity = read_activity(spark, landed)
+    return {name: rows(build(activity)) for name, build in BUILDERS.items()}
+
+
+@pytest.fixture
+def own_progress(monkeypatch):
+    """Progress where the test says, also in a session that names a folder."""
+    monkeypatch.setattr(live, "checkpoint_location", lambda spark, name, fallback=None: f"{fallback}/{name}")
 
 
 def test_stream_facts_equal_batch_facts_over_several_runs(spark, landed, out, tmp_path):
@@ -74,15 +84,15 @@ def test_a_file_with_an_old_time_stamp_is_not_passed_over(spark, landed, out, tm
 
 def test_a_repeated_batch_replaces_itself(spark, landed, out, tmp_path, monkeypatch):
     fail = {"left": 1}
-    real = live.write_batch
+    real = live.write_fact
 
-    def flaky(rows, root, name, batch_id):
-        real(rows, root, name, batch_id)
+    def flaky(rows, root, name, batch):
+        real(rows, root, name, batch)
         if name == "commits" and fail["left"]:
             fail["left"] -= 1
             raise RuntimeError("lost after the commits were written")
 
-    monkeypatch.setattr(live, "write_batch", flaky)
+    monkeypatch.setattr(live, "write_fact", flaky)
     with pytest.raises(Exception, match="lost after"):
         stream_facts(stream_activity(spark, landed), out, str(tmp_path / "p")).awaitTermination()
     stream_facts(stream_activity(spark, landed), out, str(tmp_path / "p")).awaitTermination()
@@ -90,6 +100,50 @@ def test_a_repeated_batch_replaces_itself(spark, landed, out, tmp_path, monkeypa
     assert facts_of(spark, out) == {n: rows(b(activity)) for n, b in BUILDERS.items()}
 
 
+def test_a_new_checkpoint_over_streamed_facts_is_refused(spark, landed, out, tmp_path, own_progress):
+    stream_facts(stream_activity(spark, landed), out, str(tmp_path / "p")).awaitTermination()
+    land(pathlib.Path(landed), "2024-01-03-11", [push("2024-01-03T11:00:00Z", authors=("New",))])
+    with pytest.raises(ValueError, match="no progress"):
+        stream_facts(stream_activity(spark, landed), out, str(tmp_path / "other"))
+    stream_facts(stream_activity(spark, landed), out, str(tmp_path / "p")).awaitTermination()
+    assert facts_of(spark, out) == built(spark, landed)
+
+
+def test_lost_progress_with_deleted_inputs(spark, landed, out, tmp_path, own_progress):
+    """Numbers start at 0 again, and replace nothing."""
+    whole = built(spark, landed)
+    stream_facts(stream_activity(spark, landed), out, str(tmp_path / "p")).awaitTermination()
+    for file in pathlib.Path(landed).glob("*.gz"):
+        file.unlink()
+    land(pathlib.Path(landed), "2024-01-04-1", [push("2024-01-04T01:00:00Z", authors=("New", "New"))])
+    new = built(spark, landed)
+    stream_facts(stream_activity(spark, landed), out, str(tmp_path / "lost"), afresh=True).awaitTermination()
+    assert facts_of(spark, out) == {name: whole[name] + new[name] for name in whole}
+
+
+def test_facts_one_after_the_other(spark, landed, out, tmp_path):
+    for name in schemas.FACTS:
+        stream_facts(stream_activity(spark, landed), out, str(tmp_path / "p"), facts=(name,)).awaitTermination()
+    assert facts_of(spark, out) == built(spark, landed)
+    with pytest.raises(ValueError, match="repos"):
+        stream_facts(stream_activity(spark, landed), out, str(tmp_path / "p"), facts=("repos", "commits"))
+
+
+def test_stream_and_batch_share_a_root(spark, landed, out, tmp_path):
+    root = pathlib.Path(landed)
+    later = root.parent / "later"
+    later.mkdir()
+    for file in root.glob("2024-01-0[23]*"):
+        file.rename(later / file.name)
+    run_days(spark, landed, out, "2024-01-01", "2024-01-01")
+    stream_facts(stream_activity(spark, str(later), max_files_per_trigger=1), out, str(tmp_path / "p")).awaitTermination()
+    for file in later.glob("*.gz"):
+        file.rename(root / file.name)
+    assert facts_of(spark, out) == built(spark, landed)
+    run_days(spark, landed, out, "2024-01-02", "2024-01-03")  # takes over streamed days
+    assert facts_of(spark, out) == built(spark, landed)
+
+
 def test_processed_files_can_be_cleaned_up(spark, landed, out, tmp_path):
     archive = tmp_path / "archive"
     stream = stream_activity(spark, landed, max_files_per_trigger=1, clean_source="archive",
@@ -116,6 +170,30 @@ def test_stream_repos_and_counts_equal_batch_for_closed_hours(spark, landed, tmp
     assert rows(got.where("h < '2024-01-03'")) == rows(want.where("h < '2024-01-03'"))
 
 
+def test_late_events_of_the_live_counts_are_reported(spark, landed, tmp_path):
+    """A file lands two hours late: within three hours it counts, within one it is reported."""
+    results = {}
+    for late in ("1 hour", "3 hours"):
+        folder = tmp_path / late.replace(" ", "")
+        source, target = folder / "in", str(folder / f"live-{uuid.uuid4().hex}")
+        source.mkdir(parents=True)
+
+        def run(source=source, target=target, late=late, folder=folder):
+            return live.run_live(stream_activity(spark, str(source)), target, str(folder / "p"), late, ("hourly_counts",))
+
+        land(source, "2024-01-01-5", [push("2024-01-01T05:10:00Z")])
+        run()
+        land(source, "2024-01-01-7", [push("2024-01-01T07:30:00Z")])
+        run()
+        land(source, "2024-01-01-4", [push("2024-01-01T05:20:00Z")])
+        lost = run()
+        land(source, "2024-01-02-0", [push("2024-01-02T00:00:00Z")])
+        run()
+        counts = {r.hour: r.total_events for r in spark.read.parquet(f"{target}/hourly_counts").where("date = '2024-01-01'").collect()}
+        results[late] = lost["hourly_counts"], counts
+    assert results == {"1 hour": (1, {5: 1, 7: 1}), "3 hours": (0, {5: 2, 7: 1})}
+
+
 def test_the_cluster_names_the_checkpoint_folder():
     def session(settings):  # the setting itself is fixed once a session runs
         return SimpleNamespace(conf=settings)
