@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,3 +26,16 @@ def in_blocks(rows: DataFrame, groups: DataFrame, keys: list[str], spread: str,
     return dealt.select("*", others).select(
         *rows.columns, "side", F.least("side", "other").alias("left"), F.greatest("side", "other").alias("right")
     )
+
+
+def roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """For each of ``n`` members the first one that the links (a, b) lead to."""
+    root = np.arange(n)
+    while True:
+        least = root.copy()
+        np.minimum.at(least, a, root[b])
+        np.minimum.at(least, b, root[a])
+        least = least[least]
+        if (least == root).all():
+            return root
+        root = least

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.llm.blocks import in_blocks
+from eventloom.llm.blocks import in_blocks, roots
 from eventloom.llm.components import connected_components
 from eventloom.llm.staging import stage
 
@@ -90,19 +90,6 @@ def _hash_with(bits: int, tables: int):
     return run
 
 
-def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """For each of ``n`` members the first one that the links (a, b) lead to."""
-    root = np.arange(n)
-    while True:
-        least = root.copy()
-        np.minimum.at(least, a, root[b])
-        np.minimum.at(least, b, root[a])
-        least = least[least]
-        if (least == root).all():
-            return root
-        root = least
-
-
 def _links_with(cosine: float):
     def compare(group: pa.Table) -> pa.Table:
         """(id, other, found): links that span what the blocks link, and per id the rows it found."""
@@ -131,9 +118,9 @@ def _links_with(cosine: float):
         order = np.argsort(ids)
         place = np.empty(len(ids), np.int64)
         place[order] = np.arange(len(ids))
-        roots = _roots(len(ids), place[a], place[b])
+        first = roots(len(ids), place[a], place[b])
         linked = np.flatnonzero(found)
-        others_of = ids[order][roots[place[linked]]]
+        others_of = ids[order][first[place[linked]]]
         return pa.table({"id": ids[linked], "other": others_of, "found": found[linked]})
 
     return compare

@@ -3,12 +3,18 @@
 1. Each text gives its set of hashed shingles, the minima of ``BANDS * ROWS`` universal
    hash functions over it, and one key per band of minima.
 2. Equal sets are one class, spoken for by its smallest id.
-3. In each bucket (band, key) every class is paired with the bucket's first one. Pairs
-   whose signatures agree enough are confirmed on their sets; components follow.
-4. Buckets that still hold several components are searched completely, block by block,
-   for pairs across components; these are confirmed in the same way.
-
-So a bucket of copies costs one pair per member, and no link within a bucket is lost.
+3. In each bucket (band, key) every class is paired with the bucket's first one. Of its
+   pairs whose signatures agree enough each class has the best one confirmed on the sets,
+   and goes under that one's label.
+4. Buckets with several labels are searched completely, block by block, for pairs with
+   signatures that agree enough. Classes that such pairs connect are a cluster.
+5. The classes of a cluster are compared on their sets, block by block. Those already known
+   to be connected are not compared again, and only links that connect more are returned.
+
+So a bucket of copies costs one pair per member, a group of any similarity gives rows in
+proportion to its members, and no link between components is lost.
+Signatures are kept as the lowest byte of each minimum; texts are read again only for
+documents in pairs.
 A pair of similarity 0.75 shares no bucket with a chance of (1 - 0.75^5)^40 = 2 in 100,000.
 """
 
@@ -23,16 +29,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventloom.llm.blocks import in_blocks
+from eventloom.llm.blocks import in_blocks, roots
 from eventloom.llm.components import connected_components
-from eventloom.llm.staging import stage
-from eventloom.llm.words import LOWER, WordHasher, chunks, mix, starts_of_words
+from eventloom.llm.staging import arrow_batches, stage
+from eventloom.llm.words import LOWER, WordHasher, chunks, mix, spread, starts_of_words
 
 WORDS, PERCENT = 5, 75
 BANDS, ROWS = 40, 5
 #: Pairs go on to their sets if so large a share of their minima agree: 4.5 standard
 #: deviations below the similarity asked for.
 MIN_AGREEING = PERCENT / 100 - 4.5 * (0.75 * 0.25 / (BANDS * ROWS)) ** 0.5
+#: Up to so many ids (16 MB) are broadcast to pick out their texts; more are joined by a shuffle.
+BROADCAST_IDS = 2_000_000
+#: Texts, or pairs of sets, that a task holds at once, and sets of one block.
+BATCH, SET_BLOCK = 512, 512
 _U64 = np.uint64
 _HASH = WordHasher()
 _RANDOM = np.random.Generator(np.random.PCG64(2048))
@@ -98,7 +108,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
                 pa.array([next(keys) if len(s) else None for s in sets], pa.list_(pa.int64())),
-                pa.array([next(sigs).tobytes() if len(s) else None for s in sets], pa.binary()),
+                pa.array([next(sigs).astype(np.uint8).tobytes() if len(s) else None for s in sets], pa.binary()),
             ],
             ["id", "n_shingles", "same", "bands", "minima"],
         )
@@ -106,15 +116,13 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _to_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ids, texts = batch.column(0), batch.column(1).to_pylist()
-        for low in range(0, len(texts), 512):
-            sets = [s.tobytes() for s in shingle_sets(texts[low : low + 512])]
-            yield pa.RecordBatch.from_arrays([ids.slice(low, 512), pa.array(sets, pa.binary())], ["id", "shingles"])
+        sets = [s.tobytes() for s in shingle_sets(batch.column(1).to_pylist())]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["id", "shingles"])
 
 
 @F.arrow_udf(T.DoubleType())
 def _agreeing(a: pa.Array, b: pa.Array) -> pa.Array:
-    left, right = (np.frombuffer(b"".join(x.to_pylist()), np.uint32).reshape(len(x), -1) for x in (a, b))
+    left, right = (np.frombuffer(b"".join(x.to_pylist()), np.uint8).reshape(len(x), -1) for x in (a, b))
     return pa.array((left == right).mean(axis=1) if len(left) else [], pa.float64())
 
 
@@ -128,34 +136,79 @@ def _alike(a: pa.Array, b: pa.Array) -> pa.Array:
     return pa.array(found, pa.bool_())
 
 
+def _sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(id, shingles) of the documents with some ids; only their texts are moved."""
+    few = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    with arrow_batches(docs.sparkSession, BATCH):
+        return stage(docs.join(few, "id", "left_semi").mapInArrow(_to_sets, "id long, shingles binary"), "sets")
+
+
 def _confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The ``pairs`` (a, b) that are alike by their full sets; texts are read for their ids alone."""
+    """The ``pairs`` (a, b) that are alike by their full sets."""
     pairs = stage(pairs, "pairs")
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    sets = stage(docs.join(ids, "id", "left_semi").mapInArrow(_to_sets, "id long, shingles binary"), "sets")
-    first, second = sets.select(F.col("id").alias("a"), F.col("shingles").alias("x")), sets.select(F.col("id").alias("b"), F.col("shingles").alias("y"))
-    met = pairs.join(first, "a").join(second, "b")
-    return stage(met.where(_alike("x", "y")).select("a", "b").distinct(), "alike")
-
-
-def _across(groups_of: pa.Table) -> pa.Table:
-    """Pairs of one block pair in different components, with no earlier band in common, that agree enough."""
-    side = groups_of.column("side").to_numpy()
-    left, right = groups_of.column("left")[0].as_py(), groups_of.column("right")[0].as_py()
-    band = groups_of.column("band")[0].as_py()
-    ids, comps = groups_of.column("id").to_numpy(), groups_of.column("component").to_numpy()
-    keys = np.array(groups_of.column("bands").to_pylist(), np.int64).reshape(len(ids), BANDS)[:, :band]
-    minima = np.frombuffer(b"".join(groups_of.column("minima").to_pylist()), np.uint32).reshape(len(ids), -1)
-    rows, others = np.flatnonzero(side == left), np.flatnonzero(side == right)
+    ids = stage(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ids")
+    sets = _sets(docs, ids)
+    met = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
+    with arrow_batches(docs.sparkSession, BATCH):
+        return stage(met.where(_alike("x", "y")).select("a", "b").distinct(), "alike")
+
+
+def _sides(group: pa.Table) -> tuple[np.ndarray, np.ndarray, bool]:
+    """Rows of the left and of the right block, and whether they are the same."""
+    side = group.column("side").to_numpy()
+    left, right = group.column("left")[0].as_py(), group.column("right")[0].as_py()
+    return np.flatnonzero(side == left), np.flatnonzero(side == right), left == right
+
+
+def _agree(minima: np.ndarray, row: int, others: np.ndarray) -> np.ndarray:
+    """Those of ``others`` whose signatures agree enough with the row's."""
+    return others[(minima[others] == minima[row]).mean(axis=1) >= MIN_AGREEING]
+
+
+def _clusters(group: pa.Table) -> pa.Table:
+    """Links that span all pairs of two blocks of a bucket with different labels that agree enough."""
+    rows, others, one = _sides(group)
+    ids, labels = group.column("id").to_numpy(), group.column("label").to_numpy()
+    minima = np.frombuffer(b"".join(group.column("minima").to_pylist()), np.uint8).reshape(len(ids), -1)
+    a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for row in rows.tolist():
+        near = others[labels[others] != labels[row]]
+        near = _agree(minima, row, near[near > row] if one else near)
+        a.append(np.full(len(near), row))
+        b.append(near)
+    first = roots(len(ids), np.concatenate(a), np.concatenate(b))
+    moved = np.flatnonzero(first != np.arange(len(ids)))
+    return pa.table({"a": ids[moved], "b": ids[first[moved]]})
+
+
+def _exact_links(group: pa.Table) -> pa.Table:
+    """Links, by the full sets, that connect what has different labels in two blocks of a cluster."""
+    rows, others, one = _sides(group)
+    ids, labels = group.column("id").to_numpy(), group.column("label").to_numpy().copy()
+    minima = np.frombuffer(b"".join(group.column("minima").to_pylist()), np.uint8).reshape(len(ids), -1)
+    data = group.column("shingles").to_pylist()
+    sizes = np.array([len(d) // 8 for d in data])
+    flat, at = np.frombuffer(b"".join(data), np.uint64), np.cumsum(sizes) - sizes
     a, b = [], []
     for row in rows.tolist():
-        near = others[(comps[others] != comps[row]) & (ids[others] > ids[row] if left == right else ids[others] != ids[row])]
-        near = near[~(keys[near] == keys[row]).any(axis=1)] if band else near
-        near = near[(minima[near] == minima[row]).mean(axis=1) >= MIN_AGREEING]
-        a += [ids[row]] * len(near)
-        b += ids[near].tolist()
-    low, high = np.minimum(a, b), np.maximum(a, b)
-    return pa.table({"a": pa.array(low, pa.int64()), "b": pa.array(high, pa.int64())})
+        near = others[labels[others] != labels[row]]
+        near = _agree(minima, row, near[near > row] if one else near)
+        # In portions: what a row is linked to need not be compared with the rest of that.
+        for low in range(0, len(near), 64):
+            part = near[low : low + 64]
+            part = part[labels[part] != labels[row]]
+            if not len(part):
+                continue
+            own = flat[at[row] : at[row] + sizes[row]]
+            theirs = spread(flat, at[part], sizes[part])
+            place = np.minimum(np.searchsorted(own, theirs), len(own) - 1)
+            both = np.add.reduceat((own[place] == theirs).astype(np.int64), np.cumsum(sizes[part]) - sizes[part])
+            for found in part[100 * both >= PERCENT * (sizes[row] + sizes[part] - both)].tolist():
+                if labels[found] != labels[row]:
+                    labels[labels == labels[found]] = labels[row]
+                    a.append(ids[row])
+                    b.append(ids[found])
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -172,47 +225,52 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     other columns are not kept. Ids are integers.
     """
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    signed = stage(
-        rows.mapInArrow(_sign, "id long, n_shingles long, same binary, bands array<long>, minima binary"), "minhash"
-    )
+    with arrow_batches(docs.sparkSession, BATCH):
+        signed = stage(
+            rows.mapInArrow(_sign, "id long, n_shingles long, same binary, bands array<long>, minima binary"), "minhash"
+        )
     known = signed.where("id is not null and n_shingles > 0")
     # Equal sets: one class. Staged, so that a class of any size can be split in the joins.
     first = stage(known.groupBy("same").agg(F.min("id").alias("first")), "classes")
-    copies = known.select("id", "same").join(first, "same").where("id <> first").select(F.col("id").alias("a"), F.col("first").alias("b"))
-    speakers = stage(known.join(first.withColumnRenamed("first", "id"), ["id", "same"], "left_semi").dropDuplicates(["id", "same"]), "speakers")
+    copies = stage(known.select("id", "same").join(first, "same").where("id <> first"), "copies")
+    speakers = known.join(copies, ["id", "same"], "left_anti")
 
     banded = speakers.select("id", F.posexplode("bands").alias("band", "key"))
-    buckets = stage(
-        banded.groupBy("band", "key").agg(F.min("id").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1"), "buckets"
-    )
-    led = banded.join(buckets, ["band", "key"]).where("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
+    buckets = banded.groupBy("band", "key").agg(F.min("id").alias("leader"), F.count(F.lit(1)).alias("n"))
+    buckets = stage(buckets.where("n > 1"), "buckets")
+    crowded = stage(banded.join(buckets, ["band", "key"]), "crowded")
+    led = crowded.where("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
     minima = speakers.select("id", "minima")
     rated = (
-        stage(led, "led")
-        .join(minima.toDF("a", "x"), "a")
+        led.join(minima.toDF("a", "x"), "a")
         .join(minima.toDF("b", "y"), "b")
-        .where(_agreeing("x", "y") >= MIN_AGREEING)
-        .select("a", "b")
-        .distinct()
+        .select("a", "b", _agreeing("x", "y").alias("agreeing"))
+        .where(F.col("agreeing") >= MIN_AGREEING)
     )
-    links = _confirmed(rated, rows)
+    best = rated.groupBy("b").agg(F.max(F.struct("agreeing", (-F.col("a")).alias("minus"))).alias("best"))
+    links = _confirmed(best.select((-F.col("best.minus")).alias("a"), "b"), rows)
 
-    # What the leaders have not joined: all pairs of a bucket across components.
-    parts = connected_components(links).withColumnRenamed("node", "id")
-    parts = stage(
-        speakers.select("id", "bands", "minima").join(parts, "id", "left").withColumn("component", F.coalesce("component", "id")), "parts"
-    )
-    members = parts.select("id", "component", F.posexplode("bands").alias("band", "key"))
+    # What that has not joined.
+    label = links.select(F.col("b").alias("id"), F.col("a").alias("label"))
+    members = crowded.join(label, "id", "left").withColumn("label", F.coalesce("label", "id"))
+    members = stage(members.select("band", "key", "id", "label"), "members")
     mixed = members.groupBy("band", "key").agg(
-        F.count(F.lit(1)).alias("n"), F.min("component").alias("low"), F.max("component").alias("high")
+        F.count(F.lit(1)).alias("n"), F.min("label").alias("low"), F.max("label").alias("high")
     )
     mixed = stage(mixed.where("low <> high").select("band", "key", "n"), "mixed")
-    members = parts.select("id", "component", "bands", "minima", F.posexplode("bands").alias("band", "key"))
-    dealt = in_blocks(members, mixed, ["band", "key"], "id")
-    pairs = dealt.groupBy("band", "key", "left", "right").applyInArrow(_across, "a long, b long").distinct()
-    links = links.unionByName(_confirmed(pairs.join(links, ["a", "b"], "left_anti"), rows)).unionByName(copies)
-
-    found = stage(connected_components(links).toDF("id", "component_id"), "near")
+    placed = members.join(mixed.select("band", "key"), ["band", "key"], "left_semi").join(minima, "id")
+    dealt = in_blocks(placed, mixed, ["band", "key"], "id")
+    spans = dealt.groupBy("band", "key", "left", "right").applyInArrow(_clusters, "a long, b long")
+    clusters = stage(connected_components(spans).toDF("id", "cluster"), "clusters")
+    counted = stage(clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")), "counted")
+    sets = _sets(rows, clusters.select("id"))
+    placed = clusters.join(label, "id", "left").withColumn("label", F.coalesce("label", "id")).join(minima, "id").join(sets, "id")
+    with arrow_batches(docs.sparkSession, BATCH):
+        dealt = in_blocks(placed, counted, ["cluster"], "id", SET_BLOCK)
+        more = stage(dealt.groupBy("cluster", "left", "right").applyInArrow(_exact_links, "a long, b long"), "more")
+    same = copies.select(F.col("id").alias("a"), F.col("first").alias("b"))
+
+    found = stage(connected_components(links.unionByName(more).unionByName(same)).toDF("id", "component_id"), "near")
     out = signed.select("id", "n_shingles").join(found, "id", "left")
     component = F.coalesce("component_id", "id")
     return out.select(
