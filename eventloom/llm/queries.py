@@ -23,7 +23,7 @@ from eventloom.llm import (
     toxicity,
     url_filter,
 )
-from eventloom.llm.staging import ship_package
+from eventloom.llm.staging import prepare
 
 SPECIAL_TOKENS = {bpe.SPECIAL: 50256}
 
@@ -45,7 +45,7 @@ def vocabulary(name: str) -> str:
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    ship_package(spark)
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -2,23 +2,31 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+#: Rows handed to Python at once: rows are whole texts here, and Spark's default is 10,000.
+ARROW_ROWS = 1_000
+_ARROW = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _shipped: set[str] = set()
 
 
-def ship_package(spark: SparkSession) -> None:
-    """Gives the executors this package, as ``--py-files`` does, once per application.
+def prepare(spark: SparkSession) -> None:
+    """Readies a session for operators that run Python: small batches, and this package on the executors.
 
-    Spark sends the archive from the driver. Nothing happens if the package
-    itself was loaded from an archive: then it has been submitted with the job.
+    The package is sent as ``--py-files`` does, from the driver and once per
+    application, unless it was itself loaded from an archive: then it has been
+    submitted with the job. Smaller batches that the session asks for are kept.
     """
+    if not 0 < int(spark.conf.get(_ARROW)) <= ARROW_ROWS:
+        spark.conf.set(_ARROW, str(ARROW_ROWS))
     context, package = spark.sparkContext, Path(__file__).resolve().parents[1]
     if context.applicationId in _shipped or not package.is_dir():
         return
@@ -55,3 +63,14 @@ def stage(rows: DataFrame, name: str) -> DataFrame:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
     rows.write.parquet(target)
     return spark.read.schema(rows.schema).parquet(target)
+
+
+@contextlib.contextmanager
+def arrow_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Jobs run meanwhile hand Python at most ``rows`` rows at once: for rows of several kilobytes each."""
+    before = spark.conf.get(_ARROW)
+    spark.conf.set(_ARROW, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(_ARROW, before)

@@ -2,9 +2,9 @@ from __future__ import annotations
 
 import pytest
 
-from eventloom.llm.staging import ship_package
+from eventloom.llm.staging import prepare
 
 
 @pytest.fixture(autouse=True)
 def _package_on_executors(spark):
-    ship_package(spark)
+    prepare(spark)
