@@ -15,11 +15,11 @@ from pyspark.sql import functions as F
 
 from eventloom.llm import line_dedup, minhash, packing, quality, toxicity
 from eventloom.llm.queries import vocabulary
-from eventloom.llm.staging import ship_package, stage
+from eventloom.llm.staging import prepare, stage
 
 
 def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ship_package(spark)
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
@@ -41,13 +41,13 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near duplicates."""
-    ship_package(spark)
+    prepare(spark)
     return minhash.drop_near_duplicates(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row per piece: doc_id, start, length, ids, doc_tokens, sequence_id, offset."""
-    ship_package(spark)
+    prepare(spark)
     return packing.pack_documents(docs, vocabulary("word_bpe_49k.json"))
 
 
