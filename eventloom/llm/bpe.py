@@ -32,7 +32,7 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 SPECIAL = "<|endoftext|>"
 LEAF_CHARS = 32_768
 #: Longer texts could have more stretches than the table of known ones takes.
-_LONG = 1 << 20
+_LONG = 1 << 19
 #: White space of the pattern that is not ASCII.
 _WIDE_SPACE = "[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 _IDS = np.dtype("<u4")

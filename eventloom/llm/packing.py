@@ -29,7 +29,7 @@ END_ID = 1
 _IDS = np.dtype("<u4")
 #: Characters below this are put into words here; texts with others go to the tokenizer.
 _PLAIN_END = 0x180
-_LONG = 1 << 20
+_LONG = 1 << 19
 _BATCH_IDS = 4_000_000
 _TASK_BITS = 33
 
@@ -58,9 +58,8 @@ class WordTokenizer:
 
     def __init__(self, file: str) -> None:
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self._tokenizer = Tokenizer.from_file(file)
+        self._file, self._tokenizer = file, None
         letters, numbers = _plain("L"), _plain("N")
         self._words = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^ {letters}{numbers}]+")
         # The next unit borders go by bytes: ASCII letters, and two bytes from U+00C0 on but two signs.
@@ -101,6 +100,10 @@ class WordTokenizer:
         return b"".join(self._encode_chunk(buffer, bounds)[0] for part in parts for _, buffer, bounds in chunks([part]))
 
     def _whole(self, text: str) -> bytes:
+        if self._tokenizer is None:  # large, and most texts do without it
+            from tokenizers import Tokenizer
+
+            self._tokenizer = Tokenizer.from_file(self._file)
         return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, _IDS).tobytes()
 
     def _encode_chunk(self, buffer: np.ndarray, bounds: np.ndarray) -> list[bytes]:

@@ -98,15 +98,15 @@ class IdTable:
     array operations. Key 0 marks a free slot.
     """
 
-    def __init__(self, units: int = 1 << 20) -> None:
+    def __init__(self, units: int = 1 << 19) -> None:
         self._most = units
         self._forget()
 
     def _forget(self) -> None:
-        slots = 4 * self._most
+        slots = 1 << (2 * self._most - 1).bit_length()
         self._keys = np.zeros(slots, np.uint64)
-        self._at, self._n = np.zeros(slots, np.int64), np.zeros(slots, np.int64)
-        self._ids = np.zeros(1 << 20, np.dtype("<u4"))
+        self._at, self._n = np.zeros(slots, np.int32), np.zeros(slots, np.int32)
+        self._ids = np.zeros(1 << 16, np.dtype("<u4"))
         self._used = self._units = 0
 
     def _find(self, keys: np.ndarray) -> np.ndarray:
@@ -153,7 +153,7 @@ class IdTable:
                 new, first = np.unique(keys, return_index=True)
             self._learn(new.tolist(), encode(first.tolist()))
             slots = self._find(keys)
-        counts = self._n[slots]
+        counts = self._n[slots].astype(np.int64)
         return spread(self._ids, self._at[slots], counts), counts
 
 
