@@ -32,7 +32,8 @@ from eventloom.llm.staging import stage
 MAX_TOXIC, MAX_CLEAN = 4_000, 12_000
 #: At most so many terms, the most telling first.
 MAX_TERMS = 5_000
-#: A term is in this many toxic documents at least, with at least this log-likelihood ratio and log odds.
+#: A term is in this many toxic documents and contexts at least, with at least this
+#: log-likelihood ratio and log odds.
 MIN_DOCS, MIN_RATIO, MIN_ODDS = 3, 15.0, 1.5
 _SHORTEST, _LONGEST = 3, 12
 WINDOW = 12
@@ -42,6 +43,8 @@ ADDRESSING = frozenset("you your youre yours yourself".split())
 _WORD = re.compile(r"[^\W\d_]+")
 _END = "$"
 _CACHED = 200_000
+#: Counted keys, or contexts, that a task holds at most before it passes them on.
+_HELD = 100_000
 
 
 def _edits(length: int) -> int:
@@ -238,19 +241,23 @@ def _document_terms(text: str) -> set[str]:
 def _count_by_label(kinds) -> object:
     """Per task, how many documents of each label have each key of ``kinds(text)``."""
 
+    def rows(label: int, found: Counter) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict(
+            {"key": pa.array(list(found), pa.string()), "label": pa.array([label] * len(found), pa.int32()),
+             "n": pa.array(list(found.values()), pa.int64())}
+        )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = (Counter(), Counter())
         for batch in batches:
             for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 counts[label].update(kinds(text or ""))
+                if len(counts[label]) > _HELD:  # added up again behind the shuffle
+                    yield rows(label, counts[label])
+                    counts[label].clear()
         for label, found in enumerate(counts):
-            keys = list(found)
-            for at in range(0, len(keys), 100_000):
-                part = keys[at : at + 100_000]
-                yield pa.RecordBatch.from_pydict(
-                    {"key": pa.array(part, pa.string()), "label": pa.array([label] * len(part), pa.int32()),
-                     "n": pa.array([found[k] for k in part], pa.int64())}
-                )
+            if found:
+                yield rows(label, found)
 
     return run
 
@@ -263,10 +270,44 @@ def _counts(train: DataFrame, kinds) -> DataFrame:
     )
 
 
+def _contexts(train: DataFrame, terms: set[str]) -> DataFrame:
+    """(key, contexts): the different pairs of neighbours that a term has in toxic documents."""
+
+    def rows(found: set[tuple[str, str]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict({"key": pa.array([f[0] for f in found], pa.string()), "context": pa.array([f[1] for f in found], pa.string())})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found: set[tuple[str, str]] = set()
+            for text in batch.column(0).to_pylist():
+                words = ["", *_WORD.findall((text or "").lower()), ""]
+                for before, word, after in zip(words, words[1:], words[2:]):
+                    keys = {word[:n] for n in range(_SHORTEST, min(len(word), _LONGEST) + 1)} | {word + _END}
+                    found.update((key, f"{before} {after}") for key in keys & terms)
+                if len(found) > _HELD:
+                    yield rows(found)
+                    found.clear()
+            yield rows(found)
+
+    pairs = train.where("label = 1").select("text").mapInArrow(run, "key string, context string")
+    return pairs.groupBy("key").agg(F.count_distinct("context").alias("contexts"))
+
+
 def _log_odds(toxic: float, clean: float, n_toxic: int, n_clean: int) -> float:
     return math.log((toxic + 0.5) / (n_toxic + 1)) - math.log((clean + 0.5) / (n_clean + 1))
 
 
+def _telling(counts: DataFrame, n_toxic: int, n_clean: int) -> DataFrame:
+    """Rows (key, toxic, clean) of terms that speak for toxicity, with their log-likelihood ``ratio``."""
+    toxic, clean, seen = F.col("toxic"), F.col("clean"), F.col("toxic") + F.col("clean")
+    share = n_toxic / (n_toxic + n_clean)
+    ratio = 2 * (
+        toxic * F.log(toxic / (seen * share)) + F.when(clean > 0, clean * F.log(clean / (seen * (1 - share)))).otherwise(0.0)
+    )
+    odds = F.log((toxic + 0.5) / (n_toxic + 1)) - F.log((clean + 0.5) / (n_clean + 1))
+    return counts.where(toxic >= MIN_DOCS).withColumn("ratio", ratio).where((F.col("ratio") >= MIN_RATIO) & (odds >= MIN_ODDS))
+
+
 @dataclass
 class _Candidate:
     term: str
@@ -345,22 +386,14 @@ def learn_toxicity(
         bend = np.zeros(6)
         bend[0] = (math.inf if n_toxic else -math.inf) if n_toxic or n_clean else 0.0
         return ToxicityModel([], {}, np.nan_to_num(bend, posinf=500, neginf=-500))
-    n = n_toxic + n_clean
-    expected = (F.col("toxic") + F.col("clean")) * (n_toxic / n)
-    ratio = 2 * (
-        F.col("toxic") * F.log(F.col("toxic") / expected)
-        + F.when(F.col("clean") > 0, F.col("clean") * F.log(F.col("clean") / (F.col("toxic") + F.col("clean") - expected))).otherwise(0.0)
-    )
-    odds = F.log((F.col("toxic") + 0.5) / (n_toxic + 1)) - F.log((F.col("clean") + 0.5) / (n_clean + 1))
     telling = (
-        _counts(train, _document_terms)
-        .where(F.col("toxic") >= MIN_DOCS)
-        .withColumn("ratio", ratio)
-        .where((F.col("ratio") >= MIN_RATIO) & (odds >= MIN_ODDS))
-        .orderBy(F.desc("ratio"), "key")
-        .limit(20 * MAX_TERMS)
+        _telling(_counts(train, _document_terms), n_toxic, n_clean).orderBy(F.desc("ratio"), "key").limit(20 * MAX_TERMS)
     )
-    terms = choose_terms([(r.key, r.toxic, r.clean, r.ratio) for r in telling.collect()])
+    telling = stage(telling, "terms")
+    # Copies of a document repeat all its words, but in the same contexts: those count once.
+    contexts = _contexts(train, {r.key for r in telling.select("key").collect()})
+    apart = telling.join(contexts, "key").select("key", F.least("toxic", "contexts").alias("toxic"), "clean")
+    terms = choose_terms([(r.key, r.toxic, r.clean, r.ratio) for r in _telling(apart, n_toxic, n_clean).collect()])
     plain = ToxicityModel(terms, {}, np.zeros(6))
 
     def hit_kinds(text: str) -> set[str]:
