@@ -264,9 +264,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     clusters = stage(connected_components(spans).toDF("id", "cluster"), "clusters")
     counted = stage(clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")), "counted")
     sets = _sets(rows, clusters.select("id"))
-    placed = clusters.join(label, "id", "left").withColumn("label", F.coalesce("label", "id")).join(minima, "id").join(sets, "id")
+    placed = clusters.join(label, "id", "left").withColumn("label", F.coalesce("label", "id")).join(minima, "id")
     with arrow_batches(docs.sparkSession, BATCH):
-        dealt = in_blocks(placed, counted, ["cluster"], "id", SET_BLOCK)
+        # The sets come last: they are moved to their documents and to the blocks, not between.
+        dealt = in_blocks(placed, counted, ["cluster"], "id", SET_BLOCK).join(sets, "id")
         more = stage(dealt.groupBy("cluster", "left", "right").applyInArrow(_exact_links, "a long, b long"), "more")
     same = copies.select(F.col("id").alias("a"), F.col("first").alias("b"))
 
