@@ -32,8 +32,8 @@ from eventloom.llm.staging import stage
 MAX_TOXIC, MAX_CLEAN = 4_000, 12_000
 #: At most so many terms, the most telling first.
 MAX_TERMS = 5_000
-#: A term is in this many toxic documents and contexts at least, with at least this
-#: log-likelihood ratio and log odds.
+#: A term is in this many toxic documents at least, copies of a text counted once, with
+#: at least this log-likelihood ratio and log odds.
 MIN_DOCS, MIN_RATIO, MIN_ODDS = 3, 15.0, 1.5
 _SHORTEST, _LONGEST = 3, 12
 WINDOW = 12
@@ -43,7 +43,7 @@ ADDRESSING = frozenset("you your youre yours yourself".split())
 _WORD = re.compile(r"[^\W\d_]+")
 _END = "$"
 _CACHED = 200_000
-#: Counted keys, or contexts, that a task holds at most before it passes them on.
+#: Counted keys that a task holds at most before it passes them on.
 _HELD = 100_000
 
 
@@ -238,68 +238,66 @@ def _document_terms(text: str) -> set[str]:
     return found
 
 
-def _count_by_label(kinds) -> object:
-    """Per task, how many documents of each label have each key of ``kinds(text)``."""
+#: Kinds of labelled documents: clean, toxic, and toxic with the text of another one.
+_CLEAN, _TOXIC, _COPY = 0, 1, 2
 
-    def rows(label: int, found: Counter) -> pa.RecordBatch:
+
+def _count_by_kind(keys) -> object:
+    """Per task, how many documents of each kind have each of ``keys(text)``."""
+
+    def rows(kind: int, found: Counter) -> pa.RecordBatch:
         return pa.RecordBatch.from_pydict(
-            {"key": pa.array(list(found), pa.string()), "label": pa.array([label] * len(found), pa.int32()),
+            {"key": pa.array(list(found), pa.string()), "kind": pa.array([kind] * len(found), pa.int32()),
              "n": pa.array(list(found.values()), pa.int64())}
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = (Counter(), Counter())
+        counts = (Counter(), Counter(), Counter())
         for batch in batches:
-            for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                counts[label].update(kinds(text or ""))
-                if len(counts[label]) > _HELD:  # added up again behind the shuffle
-                    yield rows(label, counts[label])
-                    counts[label].clear()
-        for label, found in enumerate(counts):
+            for text, kind in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                counts[kind].update(keys(text or ""))
+                if len(counts[kind]) > _HELD:  # added up again behind the shuffle
+                    yield rows(kind, counts[kind])
+                    counts[kind].clear()
+        for kind, found in enumerate(counts):
             if found:
-                yield rows(label, found)
+                yield rows(kind, found)
 
     return run
 
 
-def _counts(train: DataFrame, kinds) -> DataFrame:
-    parts = train.select("text", "label").mapInArrow(_count_by_label(kinds), "key string, label int, n long")
+def _counts(train: DataFrame, keys) -> DataFrame:
+    """Rows (key, toxic, texts, clean): toxic documents, different texts of these, clean documents."""
+    parts = train.select("text", "kind").mapInArrow(_count_by_kind(keys), "key string, kind int, n long")
+    n, kind = F.col("n"), F.col("kind")
     return parts.groupBy("key").agg(
-        F.sum(F.when(F.col("label") == 1, F.col("n")).otherwise(0)).alias("toxic"),
-        F.sum(F.when(F.col("label") == 0, F.col("n")).otherwise(0)).alias("clean"),
+        F.sum(F.when(kind != _CLEAN, n).otherwise(0)).alias("toxic"),
+        F.sum(F.when(kind == _TOXIC, n).otherwise(0)).alias("texts"),
+        F.sum(F.when(kind == _CLEAN, n).otherwise(0)).alias("clean"),
     )
 
 
-def _contexts(train: DataFrame, terms: set[str]) -> DataFrame:
-    """(key, contexts): the different pairs of neighbours that a term has in toxic documents."""
+def _with_kinds(train: DataFrame) -> DataFrame:
+    """(place, text, label, kind) of (place, text, label).
 
-    def rows(found: set[tuple[str, str]]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_pydict({"key": pa.array([f[0] for f in found], pa.string()), "context": pa.array([f[1] for f in found], pa.string())})
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found: set[tuple[str, str]] = set()
-            for text in batch.column(0).to_pylist():
-                words = ["", *_WORD.findall((text or "").lower()), ""]
-                for before, word, after in zip(words, words[1:], words[2:]):
-                    keys = {word[:n] for n in range(_SHORTEST, min(len(word), _LONGEST) + 1)} | {word + _END}
-                    found.update((key, f"{before} {after}") for key in keys & terms)
-                if len(found) > _HELD:
-                    yield rows(found)
-                    found.clear()
-            yield rows(found)
-
-    pairs = train.where("label = 1").select("text").mapInArrow(run, "key string, context string")
-    return pairs.groupBy("key").agg(F.count_distinct("context").alias("contexts"))
+    Case and white space do not make texts different. Only digests are shuffled; the
+    places of the first of each text are bounded by the sample and broadcast.
+    """
+    digest = F.sha2(F.regexp_replace(F.lower(F.coalesce("text", F.lit(""))), r"\s+", " "), 256)
+    firsts = train.where("label = 1").groupBy(digest.alias("digest")).agg(F.min("place").alias("place"))
+    marked = train.join(F.broadcast(firsts.select("place", F.lit(True).alias("first"))), "place", "left")
+    kind = F.when(F.col("label") == 0, _CLEAN).when(F.col("first"), _TOXIC).otherwise(_COPY)
+    return marked.select("place", "text", "label", kind.alias("kind"))
 
 
 def _log_odds(toxic: float, clean: float, n_toxic: int, n_clean: int) -> float:
     return math.log((toxic + 0.5) / (n_toxic + 1)) - math.log((clean + 0.5) / (n_clean + 1))
 
 
-def _telling(counts: DataFrame, n_toxic: int, n_clean: int) -> DataFrame:
-    """Rows (key, toxic, clean) of terms that speak for toxicity, with their log-likelihood ``ratio``."""
-    toxic, clean, seen = F.col("toxic"), F.col("clean"), F.col("toxic") + F.col("clean")
+def _telling(counts: DataFrame, toxic: str, n_toxic: int, n_clean: int) -> DataFrame:
+    """Rows of terms that speak for toxicity by their numbers ``toxic`` and clean, with their log-likelihood ``ratio``."""
+    toxic, clean = F.col(toxic), F.col("clean")
+    seen = toxic + clean
     share = n_toxic / (n_toxic + n_clean)
     ratio = 2 * (
         toxic * F.log(toxic / (seen * share)) + F.when(clean > 0, clean * F.log(clean / (seen * (1 - share)))).otherwise(0.0)
@@ -350,16 +348,24 @@ def choose_terms(rows: list[tuple[str, int, int, float]]) -> list[str]:
 
 
 def _regression(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = 1e-2) -> np.ndarray:
-    """Logistic regression by Newton's method."""
+    """Logistic regression by Newton's method; a step is halved until it does not lose likelihood."""
     beta = np.zeros(x.shape[1])
-    for _ in range(50):
+
+    def loss(at: np.ndarray) -> float:
+        z = x @ at
+        return float(weight @ (np.logaddexp(0, z) - y * z) + penalty / 2 * at @ at)
+
+    for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
         gradient = x.T @ (weight * (y - p)) - penalty * beta
         curve = (x * (weight * p * (1 - p))[:, None]).T @ x + (penalty + 1e-9) * np.eye(len(beta))
         step = np.linalg.solve(curve, gradient)
-        beta += np.clip(step, -5, 5)
+        before = loss(beta)
+        while np.abs(step).max() >= 1e-6 and loss(beta + step) > before:
+            step /= 2
         if np.abs(step).max() < 1e-6:
             break
+        beta += step
     return beta
 
 
@@ -369,8 +375,12 @@ def learn_toxicity(
     """From at most about ``MAX_TOXIC`` and ``MAX_CLEAN`` labelled documents, chosen by a hash of their id.
 
     The chosen ids have that bound, so they are broadcast. Terms are counted by
-    document in Spark; the driver gets the terms that pass the tests, and six
+    document in Spark; the driver gets the terms that pass the tests, and eight
     numbers for each chosen document.
+
+    Copies of a text repeat all its words, so terms are chosen by different texts
+    first. Toxic documents which these terms do not tell, such as a family of copies
+    with words of its own, are then counted each, and give terms of their own.
     """
     one = one_label_each(labels, label_col, id_col)
     sizes = {r.label: r.n for r in one.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -378,34 +388,60 @@ def learn_toxicity(
     place = F.pmod(F.xxhash64("id"), F.lit(1_000_000)) / 1_000_000
     chosen = one.where(place < F.when(F.col("label") == 1, share[1]).otherwise(share[0]))
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    train = stage(rows.join(F.broadcast(chosen), "id").select("text", "label"), "toxic").repartition(24)
-    seen = {r.label: r.n for r in train.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    n_toxic, n_clean = seen.get(1, 0), seen.get(0, 0)
+    train = rows.join(F.broadcast(chosen), "id").select(F.monotonically_increasing_id().alias("place"), "text", "label")
+    train = _with_kinds(stage(train, "toxic")).repartition(24)
+    seen = {r.kind: r.n for r in train.groupBy("kind").agg(F.count(F.lit(1)).alias("n")).collect()}
+    n_texts, n_clean = seen.get(_TOXIC, 0), seen.get(_CLEAN, 0)
+    n_toxic = n_texts + seen.get(_COPY, 0)
     if not n_toxic or not n_clean:
         # Only one class, or none: every score is that of the class, or even.
         bend = np.zeros(6)
         bend[0] = (math.inf if n_toxic else -math.inf) if n_toxic or n_clean else 0.0
         return ToxicityModel([], {}, np.nan_to_num(bend, posinf=500, neginf=-500))
-    telling = (
-        _telling(_counts(train, _document_terms), n_toxic, n_clean).orderBy(F.desc("ratio"), "key").limit(20 * MAX_TERMS)
-    )
-    telling = stage(telling, "terms")
-    # Copies of a document repeat all its words, but in the same contexts: those count once.
-    contexts = _contexts(train, {r.key for r in telling.select("key").collect()})
-    apart = telling.join(contexts, "key").select("key", F.least("toxic", "contexts").alias("toxic"), "clean")
-    terms = choose_terms([(r.key, r.toxic, r.clean, r.ratio) for r in _telling(apart, n_toxic, n_clean).collect()])
+    # By either number; most of all keys are not telling by any.
+    columns = ("key", "toxic", "texts", "clean", "ratio")
+    counts = stage(_counts(train, _document_terms).where(F.col("toxic") >= MIN_DOCS), "counts")
+    telling = [
+        _telling(counts, by, n, n_clean).select(*columns).orderBy(F.desc("ratio"), "key").limit(20 * MAX_TERMS)
+        for by, n in (("texts", n_texts), ("toxic", n_toxic))
+    ]
+    terms = choose_terms([(r.key, r.texts, r.clean, r.ratio) for r in telling[0].collect()])
+    model, missed = _fit(train, terms, n_toxic, n_texts, n_clean, share)
+    clean = {r.key: r.clean for r in telling[1].select("key", "clean").collect()} if len(missed) >= MIN_DOCS else {}
+    if not clean:
+        return model
+    places = docs.sparkSession.createDataFrame([(p,) for p in missed], "place long")
+    rest = train.join(F.broadcast(places), "place", "left_semi")
+    left = _counts(rest, lambda text: _document_terms(text) & clean.keys()).drop("clean").join(telling[1].select("key", "clean"), "key")
+    more = choose_terms([(r.key, r.toxic, r.clean, r.ratio) for r in _telling(left, "toxic", n_toxic, n_clean).collect()])
+    # A begin among the first terms also stands for its longer forms.
+    known = set(terms)
+    more = [t for t in more if not any(t[:n] in known for n in range(_SHORTEST, len(t) + 1))][: MAX_TERMS - len(terms)]
+    if not more:
+        return model
+    return _fit(train, sorted(known.union(more)), n_toxic, n_texts, n_clean, share)[0]
+
+
+def _fit(
+    train: DataFrame, terms: list[str], n_toxic: int, n_texts: int, n_clean: int, share: dict[int, float]
+) -> tuple[ToxicityModel, list[int]]:
+    """The model with these terms, and the places of toxic documents that it does not find."""
     plain = ToxicityModel(terms, {}, np.zeros(6))
 
-    def hit_kinds(text: str) -> set[str]:
+    def hit_keys(text: str) -> set[str]:
         return {f"{edits} {term}" for _, (edits, term) in plain.hits(text.lower())[1]}
 
-    found = {tuple(map(int, r.key.split())): (r.toxic, r.clean) for r in _counts(train, hit_kinds).collect()}
+    found = {tuple(map(int, r.key.split())): (r.toxic, r.texts, r.clean) for r in _counts(train, hit_keys).collect()}
+
+    def odds(toxic: int, texts: int, clean: int) -> float:
+        return max(_log_odds(toxic, clean, n_toxic, n_clean), _log_odds(texts, clean, n_texts, n_clean))
+
     weights = {}
     for number, term in enumerate(terms):
-        exact = _log_odds(*found.get((0, number), (0, 0)), n_toxic, n_clean)
+        exact = odds(*found.get((0, number), (0, 0, 0)))
         for edits in range(_edits(len(term.removesuffix(_END))) + 1):
             if (edits, number) in found:
-                weight = _log_odds(*found[edits, number], n_toxic, n_clean)
+                weight = odds(*found[edits, number])
             else:  # no misspelling seen: a word's counts half, a begin's is too common to count
                 weight = exact / 2 if term.endswith(_END) else 0.0
             if weight > 0.5:
@@ -416,15 +452,16 @@ def learn_toxicity(
         for batch in batches:
             x = np.array([model.features(t or "") for t in batch.column(0).to_pylist()]).reshape(-1, 6)
             yield pa.RecordBatch.from_pydict(
-                {"x": pa.array(list(x), pa.list_(pa.float64())), "label": batch.column(1).cast(pa.int32())}
+                {"x": pa.array(list(x), pa.list_(pa.float64())), "label": batch.column(1).cast(pa.int32()), "place": batch.column(2)}
             )
 
-    sample = train.select("text", "label").mapInArrow(features, "x array<double>, label int").collect()
+    sample = train.select("text", "label", "place").mapInArrow(features, "x array<double>, label int, place long").collect()
     x = np.array([r.x for r in sample])
     y = np.array([r.label for r in sample], float)
     # Each class was thinned by its own share.
     weight = np.where(y == 1, 1 / share[1], 1 / share[0])
-    return ToxicityModel(terms, weights, _regression(x, y, weight / weight.mean()))
+    bend = _regression(x, y, weight / weight.mean())
+    return ToxicityModel(terms, weights, bend), [r.place for r, v in zip(sample, x @ bend) if r.label == 1 and v < 0]
 
 
 @functools.lru_cache(maxsize=2)

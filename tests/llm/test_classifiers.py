@@ -92,6 +92,25 @@ def test_labels_of_held_out_rows_do_not_matter(spark):
     assert a.keys() == b.keys() and all(abs(a[k] - b[k]) < 1e-6 for k in a)
 
 
+def filler(rng, n=60):
+    return " ".join("".join(rng.choice("abcdefghijklmnopqrst") for _ in range(rng.randint(5, 9))) for _ in range(n))
+
+
+@pytest.mark.parametrize("family", [False, True])
+def test_one_wording_in_many_toxic_documents_is_learned(spark, family):
+    """A passage in otherwise different documents, or a family of copies, next to abuse of other words."""
+    rng = random.Random(7)
+    passage = "zorgling wuxnitz kroppelmonk zyxxolo"
+    copy = f"{filler(rng)} {passage} {filler(rng)}"
+    toxic = [copy if family else f"{filler(rng)} {passage} {filler(rng)}" for _ in range(60)]
+    toxic += [f"{filler(rng)} vundrik {filler(rng)}" for _ in range(60)]
+    docs = list(enumerate(toxic + [filler(rng, 120) for _ in range(360)]))
+    rows = scores(spark, toxicity.score_toxicity, docs, [(i, int(i < 120)) for i, _ in docs], "toxic").collect()
+    assert all(r.predicted for r in rows if r.doc_id < 120)
+    clean = [r.predicted for r in rows if r.doc_id >= 120]
+    assert sum(clean) <= 0.05 * len(clean)
+
+
 def test_quadratic_discriminant_by_its_formula():
     rng = np.random.default_rng(3)
     x = [rng.standard_normal((n, 3)) @ m + s for n, m, s in ((60, np.diag([1, 2, 3]), 1.0), (140, np.eye(3), 0.0))]
