@@ -6,7 +6,10 @@ for its length and commas to that element's ancestors, less with each step; an
 element's points are discounted by the share of its text inside links. The best
 element is kept with those of its siblings that look like more of the article.
 Parts that are never article (menus, headers, footers, sidebars, notices, adverts,
-forms, scripts, reader comments, hidden ones) are left out while reading.
+forms, scripts, hidden ones) are left out while reading. Class names such as ``sidebar``
+only raise a doubt, as wrappers of whole pages carry them too: a doubted element is left
+out if it is short or mostly links and nothing in it looks like an article. Other doubted
+elements count little, and within the best element they go unless they look like its text.
 """
 
 from __future__ import annotations
@@ -42,6 +45,10 @@ _NEVER = frozenset(
     recommendations share sharing social breadcrumb breadcrumbs menu menus nav navbar navigation pagination pager footer
     masthead comment comments commentlist discussion disqus replies reply respond copyright disclaimer toolbar skip""".split()
 )
+#: Of these, names that arrange a page and may be part of the name of its text.
+_LAYOUT = frozenset(
+    "sidebar sidebars aside widget widgets menu menus share sharing social overlay toolbar banner banners header".split()
+)
 _ARTICLE = frozenset("article articlebody body content entry hentry main page post story text blog".split())
 _TAG = re.compile(r"<!--|<[!?]|</?([a-zA-Z][^\s/>]*)")
 _TAG_END = re.compile(r"""(?>[^>"'=]+|=\s*"[^"]*"|=\s*'[^']*'|["'=])*+>""")
@@ -50,6 +57,9 @@ _HIDDEN = re.compile(r"""\shidden(?=[\s=>/])(?![^<>]*hidden\s*=\s*["']?until)"""
 _NAME = re.compile(r"[a-z]+|[A-Z][a-z]*")
 _REACH = 8
 _TOP_SHARE = 0.2
+#: Of doubted elements: what is short, the share of links that is too much, and what their text counts.
+_SHORT, _LINKED, _DOUBTED = 200, 0.4, 0.1
+_FIRM, _MAYBE, _LIKELY = 1, 2, 3  # doubts: by a sure name, by a layout name, and with an article's name too
 
 
 class _Page:
@@ -58,6 +68,7 @@ class _Page:
     def __init__(self) -> None:
         self.parent, self.tag, self.last, self.weight = [-1], ["#root"], [0], [0.0]
         self.out = [False]
+        self.doubt = [0]
         self.block = [0]  # the nearest block element, itself included
         self.linked = [False]
         self.within = [False]  # an article or main element
@@ -79,8 +90,9 @@ class _Page:
         self.parent.append(up)
         self.tag.append(tag)
         self.last.append(number)
-        left_out, weight = self._judge(tag, attributes, up)
+        left_out, doubt, weight = self._judge(tag, attributes, up)
         self.weight.append(weight)
+        self.doubt.append(doubt)
         self.out.append(self.out[up] or left_out)
         self.block.append(number if tag in _BLOCKS else self.block[up])
         self.linked.append(self.linked[up] or tag == "a")
@@ -91,30 +103,35 @@ class _Page:
         else:
             stack.append(number)
 
-    def _judge(self, tag: str, attributes: str, up: int) -> tuple[bool, float]:
-        """Whether the element is never article, and what its kind and names speak for it."""
+    def _judge(self, tag: str, attributes: str, up: int) -> tuple[bool, int, float]:
+        """Whether the element is never article, its doubt, and what its kind and names speak for it."""
         weight = {"article": 25.0, "main": 15.0, "section": 3.0, "div": 2.0}.get(tag, 0.0)
         if tag in _LEFT_OUT or tag == "header" and not self.within[up]:
-            return True, weight
+            return True, 0, weight
         if not attributes:
-            return False, weight
+            return False, 0, weight
         if _HIDDEN.search(attributes):
-            return True, weight
-        names: set[str] = set()
+            return True, 0, weight
+        groups: list[set[str]] = []
         for key, value in _ATTRIBUTE.findall(attributes):
             key, value = key.lower(), value.strip("\"'")
             if key == "role" and value.lower() in _ROLES or key == "aria-hidden" and value.lower() == "true":
-                return True, weight
+                return True, 0, weight
             if key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-                return True, weight
+                return True, 0, weight
             if key in ("class", "id"):
-                names.update(n.lower() for n in _NAME.findall(value))
-        if tag not in ("html", "body", "article", "main", "#root"):
-            if not names.isdisjoint(_NEVER) or "header" in names and not self.within[up]:
-                return True, weight
+                groups += [{n.lower() for n in _NAME.findall(name)} for name in value.split()]
+        names = set().union(*groups)
+        doubt = 0
+        if tag not in ("html", "body", "article", "main"):
+            bad = names & _NEVER | (names & {"header"} if not self.within[up] else set())
+            if bad:
+                # "entry-content has-comments" is an article's, "comment-content" is not.
+                likely = any(g & _ARTICLE and not g & bad - _LAYOUT for g in groups)
+                doubt = _LIKELY if likely else _MAYBE if bad <= _LAYOUT else _FIRM
         elif tag == "article" and not names.isdisjoint(("comment", "comments", "reply", "replies", "advert", "ad", "sponsored")):
-            return True, weight
-        return False, weight + 10.0 * (not names.isdisjoint(_ARTICLE))
+            return True, 0, weight
+        return False, doubt, weight + 10.0 * (not names.isdisjoint(_ARTICLE) and doubt in (0, _LIKELY))
 
     def close(self, tag: str) -> None:
         if tag in _BLOCKS:
@@ -160,14 +177,51 @@ class _Page:
     # -- choice ------------------------------------------------------------------
 
     def article(self) -> str:
+        # Short elements of layout names only count if there is nothing else.
+        return self._choose(_SHORT) or (self._choose(0) if any(self.doubt) else "")
+
+    def _settle(self, short: int) -> tuple[list[bool], list[bool], list[bool]]:
+        """Which elements are left out for a doubt, whose text counts little for one, and which have an article or main below."""
         n = len(self.parent)
-        points, length, links = [0.0] * n, [0] * n, [0] * n
+        length, links = [0] * n, [0] * n
+        tagged, named = [False] * n, [False] * n  # has an article or main element, an element with an article's name
         for at, text, linked in self.blocks:
             length[at] += len(text)
             links[at] += linked
+        for at in range(n - 1, 0, -1):
+            up = self.parent[at]
+            length[up] += length[at]
+            links[up] += links[at]
+            if length[at]:
+                tagged[up] |= tagged[at] or self.tag[at] in ("article", "main")
+                # Part of a comment may be called its text.
+                named[up] |= self.doubt[at] != _FIRM and (named[at] or self.doubt[at] != _MAYBE and self.weight[at] >= 10)
+        gone, faint = [False] * n, [False] * n
+        for at in range(1, n):
+            up, doubt = self.parent[at], self.doubt[at]
+            gone[at], faint[at] = gone[up], faint[up]
+            if not doubt or gone[up]:
+                continue
+            article = tagged[at] or doubt == _LIKELY or doubt == _MAYBE and named[at]
+            dense = links[at] > _LINKED * length[at]
+            brief = length[at] < (short if doubt == _MAYBE else _SHORT)
+            gone[at] = not article and (brief or dense)
+            faint[at] = faint[up] or not article
+        return gone, faint, tagged
+
+    def _choose(self, short: int) -> str:
+        n = len(self.parent)
+        gone, faint, tagged = self._settle(short) if any(self.doubt) else ([False] * n,) * 3
+        blocks = [b for b in self.blocks if not gone[b[0]]]
+        points, length, links = [0.0] * n, [0] * n, [0] * n
+        for at, text, linked in blocks:
+            length[at] += len(text)
+            links[at] += linked
             worth = (1.0 + text.count(",") + min(len(text) / 100, 3.0)) * (1 - linked / len(text))
             if len(text) < 25:
                 worth *= len(text) / 50
+            if faint[at]:
+                worth *= _DOUBTED
             if self.tag[at] in _TEXTUAL:
                 at = self.parent[at]
             for step in range(_REACH):
@@ -195,11 +249,20 @@ class _Page:
         if self.parent[top] >= 0 and self.tag[top] not in ("article", "body", "html"):
             kept = [at for at in range(1, n) if self.parent[at] == self.parent[top] and (at == top or self._more(at, top, score, length, links))]
         spans = [(at, self.last[at]) for at in kept]
-        return "\n".join(text for at, text, _ in self.blocks if any(a <= at <= b for a, b in spans))
+        # Doubted parts of it go, but for those that look like its text or hold most of it.
+        whole = sum(length[at] for at in kept)
+        cut = [
+            (part, self.last[part]) for at in kept for part in range(at + 1, self.last[at] + 1)
+            if self.doubt[part] in (_FIRM, _MAYBE)
+            and (2 * length[part] < whole and (faint[part] or tagged[part]) or self.doubt[part] == _FIRM and faint[part] and length[part] < whole)
+        ]
+        return "\n".join(
+            text for at, text, _ in blocks if any(a <= at <= b for a, b in spans) and not any(a <= at <= b for a, b in cut)
+        )
 
     def _more(self, at: int, top: int, score, length: list[int], links: list[int]) -> bool:
         """Whether a sibling of the best element belongs to the article."""
-        if not length[at] or self.out[at]:
+        if not length[at] or self.out[at] or self.doubt[at] == _FIRM:
             return False
         density = links[at] / length[at]
         if self.tag[at] in _HEADINGS:

@@ -129,6 +129,23 @@ def test_page_of_all_parts():
     ]
 
 
+@pytest.mark.parametrize("before, after", [
+    ('<div class="content-sidebar-wrap"><main>', "</main></div>"),
+    ('<div class="content has-sidebar">', "</div>"),
+    ('<div class="site-header-fixed menu-open"><div id="content">', "</div></div>"),
+    ('<div class="elementor-widget-text-editor">', "</div>"),
+    ('<div class="elementor-widget"><div class="elementor-widget-container">', "</div></div>"),
+    ('<div class="share-wrap"><article>', "</article></div>"),
+])
+def test_wrappers_named_like_other_parts(before, after):
+    text = "A sentence of the text, which is long enough, and has commas. " * 4
+    long = "Reader: what a fine text, I liked it, and so did others. " * 4
+    page = f"""<body><div class="sidebar"><ul><li><a href=a>One of many links</a></li><li><a href=b>Another</a></li></ul></div>
+{before}<h1>Title</h1><p>{text}</p><p>{text}</p><p>{text}</p><div class="share"><a href=c>Share this</a></div><p>{text}</p>{after}
+<div id="comments"><div class="comment"><div class="comment-content"><p>{long}</p></div></div></div><div class="footer">f</div></body>"""
+    assert html_extract.extract_text(page).split("\n") == ["Title"] + [text.strip()] * 4
+
+
 def test_pages_without_an_article_element():
     text = "A sentence of the text, which is long enough, and has commas."
     page = f"<body><div id=menu><a href=a>x</a></div><div id=content><p>{text}</p><p>{text}</p><div><p>{text}</p></div></div><div class=footer>f</div></body>"
