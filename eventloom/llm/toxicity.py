@@ -41,6 +41,7 @@ QUOTED, ADDRESSED = 0.25, 1.25
 REPORTING = frozenset("said says say wrote writes called calls quote quoted quotes reported term word words".split())
 ADDRESSING = frozenset("you your youre yours yourself".split())
 _WORD = re.compile(r"[^\W\d_]+")
+_PIECES = re.compile(r"([^\W\d_]+)")
 _END = "$"
 _CACHED = 200_000
 #: Counted keys that a task holds at most before it passes them on.
@@ -170,9 +171,28 @@ class ToxicityModel:
         return found
 
     def hits(self, text: str) -> tuple[list[str], list[tuple[int, tuple[int, int]]]]:
-        """The words, and (position, hit) of those that fit a term."""
-        words, hit = _WORD.findall(text), self.hit
-        return words, [(i, found) for i, word in enumerate(words) if (found := hit(word))]
+        """The words (of letters), and (position, hit) of those that fit a term.
+
+        Words with a digit or mark or two between them are also tried as one, as in
+        ``id1ot``: each such character is an edit, and a term has two at most.
+        """
+        pieces, hit = _PIECES.split(text), self.hit
+        words, gaps = pieces[1::2], pieces[0::2]
+        hits = [(i, found) for i, word in enumerate(words) if (found := hit(word))]
+        joined = []
+        for i in range(1, len(words)):
+            gap = gaps[i]
+            if gap == " " or len(gap) > 2 or gap.split() != [gap]:
+                continue
+            spans = [(i, words[i - 1] + gap + words[i])]
+            after = gaps[i + 1]
+            if i + 1 < len(words) and len(gap) == len(after) == 1 and not after.isspace():
+                spans.append((i + 1, spans[0][1] + after + words[i + 1]))
+            for last, word in spans:
+                found = hit(word)
+                if found and all(f is None or f[1] != found[1] for f in map(hit, words[i - 1 : last + 1])):
+                    joined.append((i - 1, found))
+        return words, sorted({*hits, *joined}) if joined else hits
 
     def features(self, text: str) -> np.ndarray:
         """Of the contributions of all hits: total, worst window, density, quoted part, whether any."""
@@ -442,8 +462,8 @@ def _fit(
         for edits in range(_edits(len(term.removesuffix(_END))) + 1):
             if (edits, number) in found:
                 weight = odds(*found[edits, number])
-            else:  # no misspelling seen: a word's counts half, a begin's is too common to count
-                weight = exact / 2 if term.endswith(_END) else 0.0
+            else:  # no such misspelling seen, in clean documents neither: a word's counts half, a begin's a third
+                weight = exact / (2 if term.endswith(_END) else 3)
             if weight > 0.5:
                 weights[edits, number] = weight
     model = ToxicityModel(terms, weights, np.zeros(6))

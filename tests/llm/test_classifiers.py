@@ -56,6 +56,23 @@ def test_context_separates_quotation_from_abuse():
     assert model.score(None) == model.score("") == model.score("no hits")
 
 
+@pytest.mark.parametrize("word", ["id1ot", "m0ron", "st*pid", "stu_id", "st__pidity", "stupi\u0301d", "(m0ron)", "x,m0ron,y"])
+def test_digits_and_marks_within_words(word):
+    terms = ["idiot$", "moron$", "stupid", "stupidity$"]
+    model = toxicity.ToxicityModel(terms, {(e, t): 3.0 for e in range(3) for t in range(4)}, np.array([-3.0, 1, 1, 0, -0.5, 0.5]))
+    assert model.score(f"such {word} indeed") > model.score("such fine indeed")
+    assert len(model.hits("an idiot,moron can't be")[1]) == 2
+
+
+def test_unseen_misspellings_of_beginnings_count(spark):
+    rng = random.Random(3)
+    docs = [(i, f"{filler(rng)} vundrik{rng.choice('abcdefghij')}{rng.choice('uvwxyz')} {filler(rng)}" if i < 80 else filler(rng, 120)) for i in range(320)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    model = toxicity.learn_toxicity(frame, spark.createDataFrame([(i, int(i < 80)) for i, _ in docs], "doc_id long, toxic int"))
+    number = model.terms.index("vundrik")
+    assert 0 < model.weights[1, number] < model.weights[0, number]
+
+
 def scores(spark, operator, docs, labels, label):
     frame = spark.createDataFrame([(i, t, 0.1, True) for i, t in docs], "doc_id long, text string, score double, held_out boolean")
     return operator(frame, spark.createDataFrame(labels, f"doc_id long, {label} int"))
