@@ -1,13 +1,13 @@
 """Homomorphic multiset fingerprints of documents.
 
 A document is the multiset of its paragraphs (lines). Each paragraph becomes a wide
-vector, and the fingerprint is the sum of these vectors, lane by lane modulo a power
-of two. So order does not matter, equal multisets have equal fingerprints, and a
+vector, and the fingerprint is the sum of these vectors, lane by lane modulo
+2^32. So order does not matter, equal multisets have equal fingerprints, and a
 paragraph is put in or taken out by adding or subtracting its vector.
 
-There are two groups of lanes. ``EXACT`` lanes modulo 2^32 are the BLAKE2b digest of
+There are two groups of lanes. ``EXACT`` lanes are the BLAKE2b digest of
 the paragraph: two multisets with the same sums are, but for chance, equal.
-``SKETCH`` lanes modulo 2^16 are a signed sketch of the paragraph's three-word
+``SKETCH`` lanes are a signed sketch of the paragraph's three-word
 shingles, from which two fingerprints tell how alike their documents are.
 """
 
@@ -37,7 +37,7 @@ class Fingerprint:
 
     def __init__(self, exact: np.ndarray | None = None, sketch: np.ndarray | None = None) -> None:
         self.exact = np.zeros(EXACT, np.uint32) if exact is None else exact
-        self.sketch = np.zeros(SKETCH, np.uint16) if sketch is None else sketch
+        self.sketch = np.zeros(SKETCH, np.uint32) if sketch is None else sketch
 
     def __add__(self, other: Fingerprint) -> Fingerprint:
         return Fingerprint(self.exact + other.exact, self.sketch + other.sketch)
@@ -51,19 +51,19 @@ class Fingerprint:
     __hash__ = None
 
     def text(self) -> str:
-        raw = self.exact.astype("<u4").tobytes() + self.sketch.astype("<u2").tobytes()
+        raw = self.exact.astype("<u4").tobytes() + self.sketch.astype("<u4").tobytes()
         return base64.b64encode(raw).decode()
 
     @classmethod
     def parse(cls, text: str) -> Fingerprint:
         raw = base64.b64decode(text)
-        return cls(np.frombuffer(raw[: 4 * EXACT], "<u4").astype(np.uint32), np.frombuffer(raw[4 * EXACT :], "<u2").astype(np.uint16))
+        return cls(np.frombuffer(raw[: 4 * EXACT], "<u4").astype(np.uint32), np.frombuffer(raw[4 * EXACT :], "<u4").astype(np.uint32))
 
     def likeness(self, other: Fingerprint) -> float:
         """1 for equal multisets, else the cosine of the sketches, from 0 to below 1."""
         if (self.exact == other.exact).all() and (self.sketch == other.sketch).all():
             return 1.0
-        a, b = (x.sketch.astype(np.int16).astype(np.float64) for x in (self, other))
+        a, b = (x.sketch.astype(np.int32).astype(np.float64) for x in (self, other))
         size = np.sqrt((a @ a) * (b @ b))
         return float(np.clip(a @ b / size, 0, 0.999999)) if size else 0.0
 
@@ -99,8 +99,8 @@ def _sketches(texts: list[str]) -> np.ndarray:
         sign = np.where(keys >> _U64(63), 1, -1)
         n_texts = len(bounds) - 1
         lanes = np.bincount(text[use] * SKETCH + lane, weights=sign, minlength=n_texts * SKETCH)
-        parts.append(lanes.astype(np.int64).astype(np.uint16).reshape(n_texts, SKETCH))
-    return np.concatenate(parts) if parts else np.zeros((0, SKETCH), np.uint16)
+        parts.append(lanes.astype(np.int64).astype(np.uint32).reshape(n_texts, SKETCH))
+    return np.concatenate(parts) if parts else np.zeros((0, SKETCH), np.uint32)
 
 
 def paragraphs(text: str | None) -> list[str]:

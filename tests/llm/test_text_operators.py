@@ -195,6 +195,12 @@ def test_fingerprint_is_a_multiset_hash():
     assert f("a").likeness(f("a")) == 1.0 > f("a").likeness(f("b"))
 
 
+def test_likeness_of_very_repetitive_texts():
+    text = "w " * 100_000
+    own, changed = fingerprint.fingerprints([text, fingerprint.edited(text, "other words of a text " * 5_000)])
+    assert own.likeness(changed) > 0.5
+
+
 def plain_next(docs):
     order = sorted(docs, key=lambda r: (r[0] is None, -(r[0] or 0), hashlib.sha256(r[1].encode()).hexdigest() if r[1] is not None else ""))
     out = []
