@@ -38,8 +38,17 @@ MIN_DOCS, MIN_RATIO, MIN_ODDS = 3, 15.0, 1.5
 _SHORTEST, _LONGEST = 3, 12
 WINDOW = 12
 QUOTED, ADDRESSED = 0.25, 1.25
-REPORTING = frozenset("said says say wrote writes called calls quote quoted quotes reported term word words".split())
-ADDRESSING = frozenset("you your youre yours yourself".split())
+#: In English, German, French and Spanish; without words that mean something else in another of these.
+REPORTING = frozenset(
+    """said says say wrote writes called calls quote quoted quotes reported term word words
+    sagt sagte sagten schrieb schreibt nannte nennt zitat zitiert zitierte begriff wort worte wörter berichtete
+    dit disait écrit écrivait appelle appelait appelé citation cité citait terme mot mots
+    dijo dijeron decía escribió escribe llamó llama cita citó término palabra palabras""".split()
+)
+ADDRESSING = frozenset(
+    """you your youre yours yourself du dich dir dein deine deinen deiner deinem euch euer eure
+    tu te toi tes vous votre vos tú ti tus usted ustedes vosotros vosotras vuestro vuestra contigo""".split()
+)
 _WORD = re.compile(r"[^\W\d_]+")
 _PIECES = re.compile(r"([^\W\d_]+)")
 _END = "$"
@@ -223,26 +232,27 @@ class ToxicityModel:
         return float(1 / (1 + np.exp(-np.clip(self.features(text or "") @ self.bend, -500, 500))))
 
 
-_QUOTE = re.compile("[\"“”«»]")
+_MARKS = "\"“”„‟«»"
+_QUOTE = re.compile(f"[{_MARKS}]")
+#: Opening marks with those that close them: English, German and French or Spanish ones, and »reversed« ones.
+_CLOSING = {'"': '"', "“": "”", "„": "“”‟\"", "‟": "”", "«": "»", "»": "«"}
 
 
 def _quoted_words(text: str) -> set[int]:
     """Positions of words between quotation marks of one line."""
-    inside, found, number = False, set(), 0
-    for piece in re.finditer("[\"“”«»\n]|[^\\W\\d_]+", text):
-        mark = piece[0]
-        if mark == "\n":
-            inside = False
-        elif mark == '"':
-            inside = not inside
-        elif mark in "“«":
-            inside = True
-        elif mark in "”»":
-            inside = False
-        else:
-            if inside:
-                found.add(number)
-            number += 1
+    found, number = set(), 0
+    for line in text.split("\n"):
+        closing, last = "", line.rfind("«")
+        for piece in re.finditer(f"[{_MARKS}]|[^\\W\\d_]+", line):
+            mark = piece[0]
+            if mark not in _MARKS:
+                if closing:
+                    found.add(number)
+                number += 1
+            elif closing:
+                closing = "" if mark in closing else closing
+            elif mark != "»" or piece.end() <= last:
+                closing = _CLOSING.get(mark, "")
     return found
 
 

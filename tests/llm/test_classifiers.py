@@ -73,6 +73,16 @@ def test_unseen_misspellings_of_beginnings_count(spark):
     assert 0 < model.weights[1, number] < model.weights[0, number]
 
 
+def test_quotation_and_cues_of_four_languages():
+    for text, quoted in (("er „a b“ c d", {1, 2}), ("er »a b« c d", {1, 2}), ("il « a b » c", {1, 2}), ("x “a b” c", {1, 2}),
+                         ('x "a" b', {1}), ("er „a” c “d” e", {1, 3}), ("a » b", set()), ("„a\nb", {0})):
+        assert toxicity._quoted_words(text) == quoted, text
+    model = toxicity.ToxicityModel(["stupid$"], {(0, 0): 6.0}, np.array([-3.0, 1, 1, 0, -0.5, 0.5]))
+    plain = model.score("xx stupid indeed")
+    assert all(model.score(f"{cue} stupid indeed") < plain for cue in ("schrieb", "écrit", "dijo"))
+    assert all(model.score(f"{cue} stupid indeed") > plain for cue in ("du", "vous", "usted"))
+
+
 def scores(spark, operator, docs, labels, label):
     frame = spark.createDataFrame([(i, t, 0.1, True) for i, t in docs], "doc_id long, text string, score double, held_out boolean")
     return operator(frame, spark.createDataFrame(labels, f"doc_id long, {label} int"))
