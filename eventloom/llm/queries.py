@@ -14,14 +14,18 @@ from pyspark.sql import functions as F
 from eventloom.llm import (
     bpe,
     embed_dedup,
+    filter_audit,
     fingerprint,
     html_extract,
+    license_scan,
     line_dedup,
     minhash,
+    oracle,
     packing,
     quality,
     toxicity,
     url_filter,
+    vector_codes,
 )
 from eventloom.llm.staging import prepare
 
@@ -105,6 +109,19 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit_filters(spark, f"{sf_dir}/documents.parquet", _table(spark, sf_dir, "labels"))
+
+
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")  # Spark expressions only: nothing to prepare
+    return license_scan.scan_licenses(docs).drop("spans")
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash": op1_minhash,
     "op2_toxicity": op2_toxicity,
@@ -116,6 +133,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_embed_dedup": op8_embed_dedup,
     "op9_bpe": op9_bpe,
     "op10_line_dedup": op10_line_dedup,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_license_scan": op12_license_scan,
+    "op13_vector_codes": op13_vector_codes,
 }
 
 _LINES = r"""
@@ -168,4 +188,7 @@ SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (WHERE dropped)::BIG
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), '')) AS kept_sha256
 FROM marked GROUP BY doc_id
 """,
+    "op11_filter_audit": oracle.FILTER_AUDIT,
+    "op12_license_scan": oracle.LICENSE_SCAN,
+    "op13_vector_codes": oracle.VECTOR_CODES,
 }

@@ -1,0 +1,261 @@
+"""Filter audit, licence scan and vector codes against plain versions and on odd rows."""
+
+from __future__ import annotations
+
+import itertools
+import random
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+from eventloom.llm.filter_audit import FILTERS, audit_filters
+from eventloom.llm.license_scan import scan_licenses, templates
+from eventloom.llm.vector_codes import MetricTree, Owners, compress_vectors
+
+# -- filter audit ---------------------------------------------------------------------------------
+
+DOCS = "doc_id long, text string, lang string, source string, mask string, n long"
+
+
+def plain_audit(rows, labels):
+    """rows: (doc_id, text, source)."""
+    first = {}
+    for i, text, _ in rows:
+        if i is not None:
+            first[text or ""] = min(i, first.get(text or "", i))
+    groups = defaultdict(list)
+    for i, text, source in rows:
+        text = text or ""
+        words = re.findall(r"[^\x20\x09-\x0D]+", text)
+        fails = {
+            "A": len(words) < 50,
+            "B": 100 * len(set(words)) < 65 * len(words),
+            "C": 100 * len(re.findall("[A-Z]", text)) > 5 * len(text),
+            "D": bool(re.search(r"[#$%&*|]", text)),
+            "E": i is not None and i > first[text],
+        }
+        good = any(q == 1 for d, q, _ in labels if d == i and i is not None)
+        toxic = any(t == 1 for d, _, t in labels if d == i and i is not None)
+        groups[source or ""].append(({f for f in fails if fails[f]}, good, toxic))
+    out = set()
+    for part, docs in groups.items():
+        shapley, steps = Counter(), []
+        for order in itertools.permutations(FILTERS):
+            for step, f in enumerate(order, 1):
+                before = set(order[: step - 1])
+                here = [d for d in docs if f in d[0] and not d[0] & before]
+                shapley[f] += len(here)
+                steps.append((f, (part, "".join(order), step, sum(not d[0] & {*before, f} for d in docs), len(here),
+                                  sum(f in d[0] and bool(d[0] & before) for d in docs), sum(d[0] == {f} for d in docs),
+                                  sum(d[1] for d in here), sum(d[2] for d in here))))
+        out |= {(*row, shapley[f]) for f, row in steps}
+    return out
+
+
+def some_documents(seed, n=120):
+    rng = random.Random(seed)
+    texts = [None, "", " ", "word " * 60, "One & two", "HELLO", " ".join(f"w{i}" for i in range(70)),
+             "x#" + " ".join(f"v{i}" for i in range(55)), "äö \U0001f600 " * 40]
+    rows = [(rng.choice([None, *range(n)]), rng.choice(texts), rng.choice([None, "", "a", "b"])) for _ in range(n)]
+    labels = [(rng.choice([None, *range(n)]), rng.choice([0, 1, None]), rng.choice([0, 1, None])) for _ in range(n)]
+    return rows, labels
+
+
+def land(spark, folder, rows, labels, files, mode="overwrite"):
+    """One Parquet file after another, large ids first, so that later batches bring smaller ids."""
+    rows = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0)))
+    full = [(i, text, "en", source, "clash", 7) for i, text, source in rows]
+    size = max(1, -(-len(full) // files))
+    for k in range(0, len(full), size):
+        spark.createDataFrame(full[k : k + size], DOCS).coalesce(1).write.mode(mode if k == 0 else "append").parquet(f"{folder}/docs")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.mode("overwrite").parquet(f"{folder}/labels")
+    return f"{folder}/docs", spark.read.parquet(f"{folder}/labels")
+
+
+@pytest.mark.parametrize(("seed", "files", "batches"), [(1, 5, 8), (2, 4, 2), (3, 1, 8)])
+def test_audit_equals_the_plain_one(spark, tmp_path, seed, files, batches):
+    rows, labels = some_documents(seed)
+    path, known = land(spark, str(tmp_path), rows, labels, files)
+    got = audit_filters(spark, path, known, batches=batches).collect()
+    assert len(got) == len(set(got))
+    assert {tuple(r) for r in got} == plain_audit(rows, labels)
+
+
+def test_audit_goes_on_with_files_that_came_since(spark, tmp_path):
+    rows, labels = some_documents(7)
+    rows.sort(key=lambda r: -(r[0] or 0))
+    path, known = land(spark, str(tmp_path), rows[:70], labels, 2)
+    progress = str(tmp_path / "progress")
+    first = audit_filters(spark, path, known, progress)
+    assert {tuple(r) for r in first.collect()} == plain_audit(rows[:70], labels)
+    land(spark, str(tmp_path), rows[70:], labels, 2, mode="append")
+    known = spark.read.parquet(f"{tmp_path}/labels")
+    for _ in range(2):  # the second time nothing is new
+        assert {tuple(r) for r in audit_filters(spark, path, known, progress).collect()} == plain_audit(rows, labels)
+
+
+def test_audit_leaves_the_session_as_it_was(spark, tmp_path):
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    path, known = land(spark, str(tmp_path), [(1, "a", None)], [(1, 1, 1)], 1)
+    assert audit_filters(spark, path, known).count() == 120 * 5
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == before
+
+
+def test_audit_of_no_documents(spark, tmp_path):
+    spark.createDataFrame([], DOCS).write.parquet(f"{tmp_path}/none")
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert audit_filters(spark, f"{tmp_path}/none", labels).count() == 0
+
+
+def test_audit_of_very_long_and_hot_texts(spark, tmp_path):
+    rows = [(i, "same text", "hot") for i in range(400)] + [(1000, "long " * 200_000, "b"), (1001, "long " * 200_000, "b")]
+    path, known = land(spark, str(tmp_path), rows, [(0, 1, 0)], 6)
+    assert {tuple(r) for r in audit_filters(spark, path, known).collect()} == plain_audit(rows, [(0, 1, 0)])
+
+
+# -- licence scan ---------------------------------------------------------------------------------
+
+
+def scanned(spark, texts, **options):
+    rows = spark.createDataFrame([(i, t, "x", "y") for i, t in enumerate(texts)], "doc_id long, text string, label string, size string")
+    out = scan_licenses(rows, **options)
+    assert out.columns == ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "spans"]
+    return [r for r in out.orderBy("doc_id").collect()]
+
+
+def test_phrases_stand_consecutively(spark):
+    texts = ["MIT-License and the mit license", "the license of mit", "CC BY CC BY", "gnu general public", "GNU General\nPublic_License",
+             "apacheé license", None, "", "  ", "mit"]
+    got = [(r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) for r in scanned(spark, texts)]
+    assert got == [
+        (6, 2, 0, 4, "mit"), (4, 0, None, None, ""), (4, 2, 0, 2, "cc-by"), (3, 0, None, None, ""), (4, 1, 0, 0, "gpl"),
+        (2, 0, None, None, ""), (0, 0, None, None, ""), (0, 0, None, None, ""), (0, 0, None, None, ""), (1, 0, None, None, ""),
+    ]
+
+
+def test_notices_may_be_altered(spark):
+    notice = next(" ".join(words) for _, label, base, words in templates() if label == "isc")
+    words = notice.split()
+    inserted = " ".join([*words[:10], "surely", "indeed", *words[10:]])
+    replaced = " ".join("other" if i in (8, 20) else w for i, w in enumerate(words))
+    half = " ".join(words[: len(words) // 2])
+    scattered = " ".join(f"{w} {'filler ' * 40}" for w in [" ".join(words[i : i + 5]) for i in range(0, len(words), 5)])
+    got = scanned(spark, [f"before {notice} after", inserted, replaced, half, scattered, "some other text"])
+    assert [r.labels for r in got] == ["isc", "isc", "isc", "", "", ""]
+    assert got[0].score == 1 and 0.75 <= got[1].score < 1 and 0.75 <= got[2].score < 1
+    assert 0 < got[3].score < 0.75 and 0 < got[4].score < 0.75 and got[5].score == 0
+    assert [(s.label, s.start, s.end) for s in got[0].spans] == [("isc", 1, 1 + len(words))]
+
+
+def test_repeated_rows_null_ids_and_no_rows(spark):
+    rows = spark.createDataFrame([(1, "mit license"), (1, "mit license"), (None, "mit license")], "doc_id long, text string")
+    assert sorted((str(r.doc_id), r.n_base) for r in scan_licenses(rows).collect()) == [("1", 1), ("1", 1), ("None", 1)]
+    assert scan_licenses(rows.where("false")).count() == 0
+
+
+def test_a_very_long_text_with_many_places(spark):
+    (row,) = scanned(spark, ["cc by " * 100_000])
+    assert (row.n_words, row.n_base, row.first_word, row.last_word) == (200_000, 100_000, 0, 199_998)
+
+
+def test_scan_is_built_of_spark_expressions(spark):
+    rows = spark.createDataFrame([(1, "mit license")], "doc_id long, text string")
+    plan = scan_licenses(rows)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_templates_are_checked():
+    with pytest.raises(ValueError, match="two words"):
+        templates(phrases=[("mit", "mit")])
+    with pytest.raises(ValueError, match="broadcast"):
+        templates(notices=[("a b " * 100_000, "x")])
+
+
+# -- vector codes ---------------------------------------------------------------------------------
+
+
+def plain_codes(rows, parts=8, entries=16, rounds=6):
+    """rows: (id, vector, label), with vectors of one length."""
+    kept = [(i, np.floor(4096 * np.array(v, np.float64)).astype(np.int64), label) for i, v, label in rows
+            if v is not None and None not in v and np.isfinite(v).all()]
+    width = -(-len(kept[0][1]) // parts)
+    points = np.zeros((len(kept), parts * width), np.int64)
+    points[:, : len(kept[0][1])] = [q for _, q, _ in kept]
+    first = {}
+    for k in sorted(range(len(kept)), key=lambda k: (kept[k][0] is None, kept[k][0] or 0, tuple(kept[k][1]))):
+        first.setdefault(kept[k][0], k)
+    start = list(first.values())[:entries]
+    code, error = [], np.zeros(len(kept), np.int64)
+    for p in range(parts):
+        own = points[:, p * width : (p + 1) * width]
+        book = own[start].copy()
+        for step in range(rounds + 1):
+            distance = ((own[:, None] - book[None]) ** 2).sum(axis=2)
+            near = distance.argmin(axis=1)
+            if step < rounds:
+                for e in set(near.tolist()):
+                    book[e] = own[near == e].sum(axis=0) // (near == e).sum()
+        code.append(near)
+        error += distance.min(axis=1)
+    labels = Counter()
+    for (_, _, label), e in zip(kept, error.tolist()):
+        labels[label] += e
+    return Counter((i, "".join(f"{c[k]:02x}" for c in code), int(error[k]), labels[label]) for k, (i, _, label) in enumerate(kept))
+
+
+def coded(spark, rows):
+    frame = spark.createDataFrame([(i, v, label, "x") for i, v, label in rows], "vec_id long, embedding array<float>, label int, q string")
+    out = compress_vectors(frame).collect()
+    assert len({r.codebooks_sha256 for r in out}) <= 1
+    return Counter((r.vec_id, r.code, r.error, r.label_error) for r in out)
+
+
+@pytest.mark.parametrize(("seed", "n", "size"), [(1, 60, 16), (2, 300, 8), (3, 10, 13), (4, 5000, 16)])
+def test_codes_equal_the_plain_ones(spark, seed, n, size):
+    rng = np.random.default_rng(seed)
+    # Few different values: many ties, equal rows and negative numbers.
+    vectors = (rng.integers(-4, 5, (n, size)) / 4096 * rng.choice([1, 100], (n, 1))).astype(np.float32).tolist()
+    rows = [(int(rng.integers(0, n)), v, [None, 1, 2][int(rng.integers(0, 3))]) for v in vectors]
+    rows += [(None, vectors[0], 1), (-1, None, 1), (-2, [*vectors[0][:-1], None], 1), (-3, [*vectors[0][:-1], float("nan")], 1), (-4, [*vectors[0][:-1], float("inf")], None)]
+    rows = [(i, None if v is None else v, label) for i, v, label in rows]
+    assert coded(spark, rows) == plain_codes([(i, None if v is None else [x if x is None else np.float32(x) for x in v], label) for i, v, label in rows])
+
+
+def test_vectors_of_other_lengths_are_dropped_and_large_ones_refused(spark):
+    assert {r[0] for r in coded(spark, [(1, [0.5] * 8, 1), (2, [0.5] * 9, 1), (3, [], 1)])} == {1}
+    assert coded(spark, [(1, [], 1), (2, [], None)]) == Counter({(1, "00" * 8, 0, 0): 1, (2, "00" * 8, 0, 0): 1})
+    with pytest.raises(Exception, match="have to be below"):
+        coded(spark, [(1, [1e9] * 8, 1)])
+
+
+def test_no_vectors(spark):
+    assert coded(spark, []) == Counter()
+    assert coded(spark, [(1, None, 1)]) == Counter()
+
+
+@pytest.mark.parametrize(("n", "width", "spread"), [(1, 3, 5), (700, 2, 3), (2000, 4, 10_000), (900, 1, 1)])
+def test_trees_cache_what_their_balls_hold(n, width, spread):
+    rng = np.random.default_rng(n)
+    points = rng.integers(-spread, spread, (n, width))
+    tree = MetricTree.from_bytes(MetricTree(points).to_bytes())
+    assert sorted(tree.order.tolist()) == list(range(n)) and (points[tree.order] == tree.points).all()
+    for ball in range(len(tree.low)):
+        inside = tree.points[tree.low[ball] : tree.high[ball]]
+        assert (inside.sum(axis=0) == tree.total[ball]).all()
+        assert np.sqrt(((inside - tree.centre[ball]) ** 2).sum(axis=1)).max() <= tree.radius[ball] * (1 + 1e-9) + 1e-9
+        if tree.left[ball] >= 0:
+            left, right = tree.left[ball], tree.right[ball]
+            assert (tree.low[left], tree.high[left], tree.high[right]) == (tree.low[ball], tree.low[right], tree.high[ball])
+
+
+def test_balls_are_owned_whole():
+    """Far clusters: no point is compared alone."""
+    rng = np.random.default_rng(0)
+    centres = np.array([[0, 0], [100_000, 0], [0, 100_000]])
+    points = np.concatenate([c + rng.integers(-50, 50, (400, 2)) for c in centres])
+    found = Owners(MetricTree.from_bytes(MetricTree(points).to_bytes()), centres, points=True)
+    assert found.compared == 0 and found.count.tolist() == [400, 400, 400]
+    assert (found.total == [points[i * 400 : (i + 1) * 400].sum(axis=0) for i in range(3)]).all()

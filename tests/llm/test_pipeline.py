@@ -23,7 +23,7 @@ LARGER = f"{TESTDATA}/sf0.01"
 
 
 def test_names():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "quality", "line_dedup", "near_dedup", "packing"]
 
 
@@ -33,14 +33,16 @@ def test_queries_match_their_sql(spark, name, sf):
     compare_with_oracle(spark, QUERIES[name], ORACLE[name], sf)
 
 
-def test_stages(spark):
+def test_stages(spark, request):
     docs = spark.read.parquet(f"{LARGER}/documents.parquet")
     labels = {r.doc_id: r for r in spark.read.parquet(f"{LARGER}/labels.parquet").collect()}
     stages = dict(corpus_pipeline.STAGES)
-    columns = docs.columns
+    columns, cached = docs.columns, []
+    request.addfinalizer(lambda: [frame.unpersist(blocking=True) for frame in cached])
 
     def kept(name, docs):
         out = stages[name](spark, docs, LARGER).cache()
+        cached.append(out)
         assert out.columns == columns and out.dtypes == docs.dtypes
         return out, {r.doc_id for r in out.collect()}
 
