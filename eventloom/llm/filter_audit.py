@@ -35,7 +35,7 @@ from eventloom.llm.staging import shared_root
 FILTERS = "ABCDE"
 _COPY = 1 << FILTERS.index("E")
 #: Micro-batches that the files are dealt to; a plan size only, results do not depend on it.
-BATCHES = 8
+BATCHES = 4
 #: Texts that a task holds while it joins copies; then it passes them on and starts again.
 _TEXTS_AT_ONCE = 50_000
 #: Texts, about, that one state holds: an entry per text would cost a call to Python each.
@@ -46,6 +46,8 @@ _STATE_STORE = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+    # Many small stores: files of several megabytes are not set aside for each.
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 
 
