@@ -59,11 +59,11 @@ def _parser() -> argparse.ArgumentParser:
     follow.add_argument("--files-at-once", type=int, default=_FILES_AT_ONCE)
     follow.add_argument("--afresh", action="store_true", help="start without progress: the files read before are gone")
 
-    live = jobs.add_parser("live", help="store the counts of complete hours from newly landed files")
+    live = jobs.add_parser("live", help="add newly landed files to the counts per hour")
     live.add_argument("in_root")
     live.add_argument("out_root")
     live.add_argument("--checkpoint", help="used if the session names no spark.checkpoint.dir")
-    live.add_argument("--late", default="1 hour", help="how late an event may come")
+    live.add_argument("--late", default="1 hour", help="how late an event may come before it is reported")
     live.add_argument("--only", nargs="+", choices=list(LIVE), default=list(LIVE))
     live.add_argument("--files-at-once", type=int, default=_FILES_AT_ONCE)
     return parser
@@ -91,7 +91,7 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "live":
         activity = stream_activity(spark, args.in_root, args.files_at_once)
         for name, groups in run_live(activity, args.out_root, args.checkpoint, args.late, args.only).items():
-            print(f"{name}: {groups} groups came too late")
+            print(f"{name}: {groups} groups came too late for hours complete before, and were added")
     else:
         activity = stream_activity(
             spark, args.in_root, args.files_at_once, clean_source=args.clean, schema=input_schema(args.facts)

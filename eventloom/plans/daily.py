@@ -4,29 +4,21 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.functions.calendar import FILE_SUFFIX, day_names
+from eventloom.functions.calendar import day_names
 from eventloom.functions.columns import with_event_time
 from eventloom.operators import commits as commit_ops
 from eventloom.operators import members as member_ops
 from eventloom.operators import owners as owner_ops
 from eventloom.operators import rollups
 from eventloom.operators.facts import BUILDERS
-from eventloom.schemas import BATCH, FACTS, SOURCE_DATE, input_schema
-from eventloom.sinks.files import (
-    drop_other_runs,
-    exists,
-    export_csv,
-    new_run,
-    remove,
-    remove_matching,
-    staged,
-    write_fact,
-)
-from eventloom.sources.facts import read_fact, stored_fact
-from eventloom.sources.raw import read_activity, rejected_lines
+from eventloom.schemas import FACTS, SOURCE_DATE, input_schema
+from eventloom.sinks.files import export_csv, new_run, remove, remove_unchanged, staged, write_fact
+from eventloom.sinks.manifest import KEEP_SECONDS, Manifest, begin, commit, keep_inputs, tidy
+from eventloom.sources.facts import read_fact
+from eventloom.sources.raw import landed_files, read_listed, rejected_lines
 
 
 @dataclass(frozen=True)
@@ -55,49 +47,52 @@ def run_days(
     last_day: str,
     facts=tuple(FACTS),
     clean: bool = False,
+    keep_seconds: float = KEEP_SECONDS,
 ) -> RunSummary:
     """Build facts from the files of a range of days, parsing each file once.
 
-    The parsed columns, with the time already split up, are written to shared
-    storage and the facts are built from there; that copy goes afterwards. Then
-    all that other runs, or a stream, had stored from the files of these days is
-    removed, also where this run has no rows. A run that fails before that has
-    its rows beside the old ones until it is repeated.
+    The files are listed first, and all that follows is about just these. The
+    parsed columns, with the time already split up, are written to shared
+    storage and the facts are built from there; that copy goes afterwards. All
+    is counted while it is written: one job per fact.
+
+    Readers see nothing of it until one commit puts the run in place of all that
+    other runs, or a stream, had stored from files of these days, also where
+    this run has no rows. What it replaced is removed after ``keep_seconds``, by
+    whichever run is the next.
 
     Lines without a usable time are kept in ``rejects`` beside the facts.
-    ``clean`` deletes the files of these days at the end.
+    ``clean`` deletes the listed files at the end, unless they have changed.
     """
     facts = tuple(facts)
-    days, run = day_names(first_day, last_day), new_run()
-    activity = read_activity(spark, in_root, first_day, last_day, input_schema(facts))
-    activity = with_event_time(activity).drop("created_at")
+    days, run, schema = day_names(first_day, last_day), new_run(), input_schema(facts)
+    begin(spark, out_root)
+    files = landed_files(spark, in_root, first_day, last_day)
+    keep_inputs(spark, out_root, run, files)
+    seen, written = Observation(), {}
+    activity = with_event_time(read_listed(spark, files, schema)).drop("created_at")
+    activity = activity.observe(
+        seen, F.count(F.lit(1)).alias("rows_in"), F.count_if(F.col("event_ts").isNull()).alias("rejected")
+    )
     with staged(activity, out_root) as activity:
-        seen = activity.agg(
-            F.count(F.lit(1)).alias("rows_in"),
-            F.count_if(F.col("event_ts").isNull()).alias("rejected"),
-        ).first()
         for name in facts:
-            write_fact(BUILDERS[name](activity, carry=(SOURCE_DATE,)), out_root, name, run)
-    for name in facts:
-        drop_other_runs(spark, out_root, name, days, run)
+            written[name] = write_fact(BUILDERS[name](activity, carry=(SOURCE_DATE,)), out_root, name, run)
+
+    def replace(manifest: Manifest) -> None:
+        for name in facts:
+            for day in days:
+                manifest.put(name, day, [run])
+
+    commit(spark, out_root, replace)
+    counts = {"rows_in": 0, "rejected": 0} | seen.get
     for day in days:
         remove(spark, f"{out_root.rstrip('/')}/rejects/{SOURCE_DATE}={day}")
-    if seen.rejected:
-        rejected_lines(spark, in_root, first_day, last_day).write.mode("append").partitionBy(SOURCE_DATE).json(
-            f"{out_root.rstrip('/')}/rejects"
-        )
-    written = {name: _stored_rows(spark, out_root, name, run) for name in facts}
+    if counts["rejected"]:
+        rejected_lines(spark, files).write.mode("append").partitionBy(SOURCE_DATE).json(f"{out_root.rstrip('/')}/rejects")
+    tidy(spark, out_root, keep_seconds)
     if clean:
-        for day in days:
-            remove_matching(spark, f"{in_root.rstrip('/')}/{day}-*{FILE_SUFFIX}")
-    return RunSummary(seen.rows_in, seen.rejected, written)
-
-
-def _stored_rows(spark: SparkSession, root: str, name: str, run: str) -> int:
-    """Rows that a run has stored, from the Parquet footers."""
-    if not exists(spark, f"{root.rstrip('/')}/{name}"):
-        return 0
-    return stored_fact(spark, root, name).where(F.col(BATCH) == run).count()
+        remove_unchanged(spark, files)
+    return RunSummary(counts["rows_in"], counts["rejected"], written)
 
 
 METRICS = {

@@ -80,6 +80,9 @@ FACTS = {"repos": REPOS, "commits": COMMITS, "members": MEMBERS}
 SOURCE_DATE = "source_date"
 BATCH = "batch"
 
+# Name of the hourly file a row came from, and the partition of live counts.
+SOURCE_FILE = "source_file"
+
 
 def input_schema(facts) -> T.StructType:
     """The narrowest file schema from which all of ``facts`` can be built."""

@@ -11,34 +11,34 @@ import contextlib
 import uuid
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from eventloom.schemas import BATCH, FACTS, SOURCE_DATE
-
-
-def _location(spark: SparkSession, target: str):
-    """The file system of ``target`` and its path there."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(target)
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+from eventloom.sinks.manifest import location
 
 
 def remove(spark: SparkSession, target: str) -> None:
     """Deletes a folder or file, if it is there."""
-    files, path = _location(spark, target)
+    files, path = location(spark, target)
     files.delete(path, True)
 
 
 def exists(spark: SparkSession, target: str) -> bool:
-    files, path = _location(spark, target)
+    files, path = location(spark, target)
     return files.exists(path)
 
 
-def remove_matching(spark: SparkSession, pattern: str) -> None:
-    """Deletes the files whose path fits a glob pattern."""
-    files, path = _location(spark, pattern)
-    for found in files.globStatus(path) or []:
-        files.delete(found.getPath(), True)
+def remove_unchanged(spark: SparkSession, files: list[dict]) -> int:
+    """Deletes files (path, length, modified) that are still as they were listed; returns how many."""
+    gone = 0
+    for file in files:
+        system, path = location(spark, file["path"])
+        if system.exists(path):
+            status = system.getFileStatus(path)
+            if (status.getLen(), status.getModificationTime()) == (file["length"], file["modified"]):
+                gone += bool(system.delete(path, False))
+    return gone
 
 
 @contextlib.contextmanager
@@ -63,27 +63,21 @@ def new_run() -> str:
     return f"run-{uuid.uuid4().hex}"
 
 
-def write_fact(rows: DataFrame, root: str, name: str, batch: str) -> None:
-    """Stores fact rows that carry ``source_date`` under ``batch``.
+def write_fact(rows: DataFrame, root: str, name: str, batch: str) -> int:
+    """Stores fact rows that carry ``source_date`` under ``batch``; returns how many.
 
     A repeated batch replaces its own partitions. Rows of a partition are
     brought together first: otherwise each task writes a small file to every day
-    it has rows of. Large days are split again.
+    it has rows of. Large days are split again. Rows are counted as they are
+    written, in the tasks that write.
     """
+    written = Observation()
     out = rows.select(SOURCE_DATE, *FACTS[name].fieldNames(), F.lit(batch).alias(BATCH))
     partitions = (SOURCE_DATE, "date", BATCH)
-    out.hint("rebalance", *partitions).write.mode("overwrite").option(
+    out.hint("rebalance", *partitions).observe(written, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic"
     ).partitionBy(*partitions).parquet(f"{root.rstrip('/')}/{name}")
-
-
-def drop_other_runs(spark: SparkSession, root: str, name: str, days: list[str], batch: str) -> None:
-    """Removes what other runs, or stream batches, have stored from the files of ``days``."""
-    for day in days:
-        files, path = _location(spark, f"{root.rstrip('/')}/{name}/{SOURCE_DATE}={day}/date=*/{BATCH}=*")
-        for found in files.globStatus(path) or []:
-            if found.getPath().getName() != f"{BATCH}={batch}":
-                files.delete(found.getPath(), True)
+    return written.get.get("rows", 0)
 
 
 def export_csv(rows: DataFrame, root: str, metric: str, date: str) -> str:

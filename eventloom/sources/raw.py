@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from eventloom.functions.calendar import FILE_SUFFIX, day_names, hour_file_name
 from eventloom.functions.columns import utc_timestamp
-from eventloom.schemas import ACTIVITY, SOURCE_DATE
+from eventloom.schemas import ACTIVITY, SOURCE_DATE, SOURCE_FILE
 
 _ANY_AGE = "36500d"
 
@@ -38,6 +38,22 @@ def read_activity(
     return _with_source_date(reader.json(root))
 
 
+def landed_files(spark: SparkSession, root: str, first_day: str | None = None, last_day: str | None = None) -> list[dict]:
+    """The hourly files of the days as they are now: (path, length, modified), by path. Contents are not read."""
+    found = (
+        spark.read.format("binaryFile").option("pathGlobFilter", _day_files(first_day, last_day)).load(root)
+        .select("path", "length", F.unix_millis("modificationTime").alias("modified"))
+    )
+    return sorted((row.asDict() for row in found.collect()), key=lambda file: file["path"])
+
+
+def read_listed(spark: SparkSession, files: list[dict], schema: T.StructType = ACTIVITY) -> DataFrame:
+    """``read_activity`` of just these files, whatever has landed since they were listed."""
+    if not files:
+        return spark.createDataFrame([], schema).withColumn(SOURCE_DATE, F.lit(None).cast("date"))
+    return _with_source_date(spark.read.schema(schema).json([file["path"] for file in files]))
+
+
 def _day_files(first_day: str | None, last_day: str | None) -> str:
     if last_day and not first_day:
         raise ValueError("last_day needs first_day")
@@ -46,16 +62,14 @@ def _day_files(first_day: str | None, last_day: str | None) -> str:
     return f"{{{','.join(day_names(first_day, last_day or first_day))}}}-*{FILE_SUFFIX}"
 
 
-def rejected_lines(
-    spark: SparkSession, root: str, first_day: str | None = None, last_day: str | None = None
-) -> DataFrame:
-    """The raw lines that give no event time: (source_date, file_name, line).
+def rejected_lines(spark: SparkSession, files: list[dict]) -> DataFrame:
+    """The raw lines of listed files that give no event time: (source_date, file_name, line).
 
     Broken JSON is among them, as are times that are missing, malformed or
     without a zone. Reads the files as text.
     """
-    lines = spark.read.option("pathGlobFilter", _day_files(first_day, last_day)).text(root)
-    lines = _with_source_date(lines).select(SOURCE_DATE, F.col("_metadata.file_name").alias("file_name"), F.col("value").alias("line"))
+    lines = _with_source_date(spark.read.text([file["path"] for file in files]))
+    lines = lines.select(SOURCE_DATE, F.col("_metadata.file_name").alias("file_name"), F.col("value").alias("line"))
     # Parsed in the mode of the events, so a line is broken here if it is broken there.
     parsed = F.from_json("line", T.StructType([T.StructField("created_at", T.StringType())]))
     usable = utc_timestamp(parsed["created_at"]).isNotNull()
@@ -120,6 +134,7 @@ def stream_activity(
     alone: by default Spark would pass over one that landed with a time stamp
     more than a week behind the newest, and lose its events. So the names of all
     files ever read stay in the driver's memory and in the progress: one per hour.
+    Each row also carries ``source_file``, the name of its file.
     """
     reader = (
         spark.readStream.schema(schema)
@@ -131,4 +146,4 @@ def stream_activity(
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if archive_dir:
         reader = reader.option("sourceArchiveDir", archive_dir)
-    return _with_source_date(reader.json(root))
+    return _with_source_date(reader.json(root)).withColumn(SOURCE_FILE, F.col("_metadata.file_name"))

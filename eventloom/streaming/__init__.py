@@ -1,3 +1,3 @@
-from eventloom.streaming.live import run_live, stream_facts, stream_hourly_counts, stream_repos
+from eventloom.streaming.live import read_live, run_live, stream_facts, stream_hourly_counts, stream_repos
 
-__all__ = ["run_live", "stream_facts", "stream_hourly_counts", "stream_repos"]
+__all__ = ["read_live", "run_live", "stream_facts", "stream_hourly_counts", "stream_repos"]

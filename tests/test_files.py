@@ -15,7 +15,9 @@ from eventloom.operators import commits as commit_ops
 from eventloom.operators import owners as owner_ops
 from eventloom.operators.facts import BUILDERS
 from eventloom.plans.daily import STATISTICS, run_day, run_days, run_metrics
+from eventloom.plans import daily
 from eventloom.sinks.files import export_csv, write_fact
+from eventloom.sinks.manifest import begin, commit, inputs_of, read_manifest, tidy
 from eventloom.sources import (
     create_fact_table,
     missing_files,
@@ -188,10 +190,10 @@ def test_a_range_rerun_equals_reruns_of_its_days(spark, landed, tmp_path):
 
 
 def test_nothing_staged_is_left_and_nothing_is_persisted(spark, landed, tmp_path):
-    out = tmp_path / "facts"
+    out, before = tmp_path / "facts", set(spark.sparkContext._jsc.getPersistentRDDs())
     run_days(spark, landed, str(out), "2024-01-01", "2024-01-03")
     assert sorted(p.name for p in out.iterdir() if not p.name.startswith(".")) == ["commits", "members", "rejects", "repos"]
-    assert spark.sparkContext._jsc.getPersistentRDDs().isEmpty()
+    assert set(spark.sparkContext._jsc.getPersistentRDDs()) <= before
 
 
 def test_rejected_lines_are_kept_with_their_file(spark, landed, tmp_path):
@@ -246,7 +248,7 @@ def test_a_day_without_files_is_stored_as_empty(spark, landed, tmp_path):
 def test_one_fact_per_job(spark, landed, tmp_path):
     out = tmp_path / "facts"
     assert run_day(spark, landed, str(out), "2024-01-01", facts=("commits",)).rows_out == {"commits": 5}
-    assert [p.name for p in out.iterdir() if p.name != "rejects"] == ["commits"]
+    assert [p.name for p in out.iterdir() if p.name in schemas.FACTS] == ["commits"]
     with pytest.raises(ValueError):
         run_day(spark, landed, str(out), "2024-01-01", facts=("stars",))
 
@@ -348,3 +350,141 @@ def test_metric_files(spark, landed, tmp_path):
         run_metrics(spark, out, str(tmp_path / "csv5"), "2024-01-03", only=("stars",))
     some = run_metrics(spark, out, str(tmp_path / "csv2"), "2024-01-03", "2024-01-02", "2024-01-03")
     assert spark.read.option("header", True).csv(some[1]).count() == 0
+
+
+class Broken(RuntimeError):
+    pass
+
+
+#: Steps of a run, in order; each test breaks the run before one of them.
+STEPS = ["keep_inputs", "read_listed", "write_fact", "commit", "remove", "rejected_lines", "tidy"]
+
+
+@pytest.mark.parametrize("step", STEPS)
+def test_a_run_broken_at_any_step_shows_old_or_new_rows_never_both(spark, landed, tmp_path, monkeypatch, step):
+    out = str(tmp_path / "facts")
+    corrected = tmp_path / "corrected"
+    corrected.mkdir()
+    land(corrected, "2024-01-01-0", [push("2024-01-01T00:00:00Z", authors=("Corrected",)), push("never")])
+    land(corrected, "2024-01-01-1", [member("2024-01-01T01:00:00Z", login="new")])
+    run_days(spark, landed, out, "2024-01-01", "2024-01-02")
+
+    def seen():
+        return {name: rows(read_fact(spark, out, name)) for name in schemas.FACTS}
+
+    old, during = seen(), []
+    begun = {name: read_fact(spark, out, name) for name in schemas.FACTS}  # a reader that has begun
+    for name in STEPS:
+        def watched(*args, real=getattr(daily, name), name=name, **kwargs):
+            during.append(seen())
+            if name == step:
+                raise Broken(step)
+            return real(*args, **kwargs)
+
+        monkeypatch.setattr(daily, name, watched)
+    with pytest.raises(Broken):
+        run_days(spark, str(corrected), out, "2024-01-01", "2024-01-01")
+    monkeypatch.undo()
+    after = seen()
+    assert {name: rows(frame) for name, frame in begun.items()} == old
+    run_days(spark, str(corrected), out, "2024-01-01", "2024-01-01")
+    new = seen()
+    assert new != old and all(state in (old, new) for state in [*during, after])
+    assert after == (old if step in STEPS[:4] else new)
+    assert {r.author_name for r in read_fact(spark, out, "commits", "2024-01-01", "2024-01-01").collect()} == {"Corrected"}
+
+
+def test_writers_at_once_both_count(spark, landed, tmp_path, monkeypatch):
+    """The slower of two commits is applied on top of the faster one."""
+    out = str(tmp_path / "facts")
+    begin(spark, out)
+
+    def slow(manifest, again=[]):
+        if not again:
+            again.append(True)
+            commit(spark, out, lambda m: m.put("commits", "2024-01-01", ["fast"]))
+        manifest.put("commits", "2024-01-02", ["slow"])
+
+    commit(spark, out, slow)
+    assert read_manifest(spark, out).live == {"commits": {"2024-01-01": ["fast"], "2024-01-02": ["slow"]}}
+
+
+def test_replaced_files_go_after_a_time(spark, landed, tmp_path):
+    out = tmp_path / "facts"
+    for _ in range(3):
+        run_days(spark, landed, str(out), "2024-01-01", "2024-01-03")
+    assert len(list(out.glob("commits/*/*/batch=*"))) == 3 * 4
+    assert tidy(spark, str(out), keep_seconds=0) == 2 * 3 * 3  # runs, facts, days
+    assert len(list(out.glob("commits/*/*/batch=*"))) == 4
+    assert tidy(spark, str(out), keep_seconds=0) == 0
+    run_days(spark, landed, str(out), "2024-01-01", "2024-01-03", keep_seconds=0)
+    assert len(list(out.glob("commits/*/*/batch=*"))) == 4
+    assert read_fact(spark, str(out), "commits").count() == 8
+
+
+def test_a_root_without_a_manifest_is_taken_over(spark, landed, tmp_path):
+    import shutil
+
+    out = tmp_path / "facts"
+    run_days(spark, landed, str(out), "2024-01-01", "2024-01-03")
+    before = {name: rows(read_fact(spark, str(out), name)) for name in schemas.FACTS}
+    shutil.rmtree(out / ".manifest")
+    assert {name: rows(read_fact(spark, str(out), name)) for name in schemas.FACTS} == before
+    run_day(spark, landed, str(out), "2024-01-02", facts=("commits",))
+    assert {name: rows(read_fact(spark, str(out), name)) for name in schemas.FACTS} == before
+
+
+def test_a_file_that_lands_during_the_run_stays_and_is_in_the_next(spark, landed, tmp_path, monkeypatch):
+    import pathlib
+
+    out, real = str(tmp_path / "facts"), daily.rejected_lines
+
+    def landing(*args):
+        land(pathlib.Path(landed), "2024-01-01-12", [push("2024-01-01T12:00:00Z", authors=("Newcomer",)), "{late"])
+        land(pathlib.Path(landed), "2024-01-01-0", [push("2024-01-01T00:00:00Z", authors=("Rewritten",) * 9)])
+        return real(*args)
+
+    monkeypatch.setattr(daily, "rejected_lines", landing)
+    summary = run_days(spark, landed, out, "2024-01-01", "2024-01-02", clean=True)
+    monkeypatch.undo()
+    assert (summary.rows_in, summary.rejected) == (10, 2)
+    assert spark.read.json(f"{out}/rejects").count() == 2
+    assert sorted(p.name for p in pathlib.Path(landed).glob("*.gz")) == [
+        "2024-01-01-0.json.gz", "2024-01-01-12.json.gz", "2024-01-03-10.json.gz"]
+    assert run_day(spark, landed, out, "2024-01-01", clean=True).rows_in == 3
+    names = Counter(r.author_name for r in read_fact(spark, out, "commits", "2024-01-01", "2024-01-01").collect())
+    assert names == {"Newcomer": 1, "Rewritten": 9}
+
+
+def test_a_run_keeps_the_list_of_what_it_read(spark, landed, tmp_path):
+    out = str(tmp_path / "facts")
+    run_day(spark, landed, out, "2024-01-01")
+    (run,) = read_manifest(spark, out).batches("commits", "2024-01-01")
+    files = inputs_of(spark, out, run)
+    assert [f["path"].rsplit("/", 1)[1] for f in files] == ["2024-01-01-0.json.gz", "2024-01-01-23.json.gz"]
+    assert all(f["length"] > 0 and f["modified"] > 0 for f in files)
+
+
+def test_facts_are_counted_while_they_are_written(spark, landed, tmp_path):
+    """One job per fact: no scan of the stored fact, none of the staged copy, for its count alone."""
+    out, tracker = str(tmp_path / "facts"), spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("counted", "counted")
+    try:
+        summary = run_days(spark, landed, out, "2024-01-02", "2024-01-02")
+        jobs = len(tracker.getJobIdsForGroup("counted"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert summary.rows_out == {name: stored_fact(spark, out, name).count() for name in schemas.FACTS}
+    # The list of files, the staged copy, and per fact a shuffle or two and the write.
+    assert jobs <= 2 + 3 * len(schemas.FACTS)
+
+
+def test_a_table_in_the_catalog_has_what_counts(spark, landed, tmp_path):
+    out = str(tmp_path / "facts")
+    try:
+        for _ in range(2):
+            run_days(spark, landed, out, "2024-01-01", "2024-01-03")
+            create_fact_table(spark, out, "commits", "commits_test")
+            assert spark.table("commits_test").count() == 8
+    finally:
+        spark.sql("DROP TABLE IF EXISTS commits_test")

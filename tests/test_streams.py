@@ -12,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from eventloom import schemas
+from eventloom.functions import with_event_time
 from eventloom.operators.facts import BUILDERS, build_repos
 from eventloom.plans.daily import run_days
 from eventloom.session import checkpoint_location
@@ -170,28 +171,96 @@ def test_stream_repos_and_counts_equal_batch_for_closed_hours(spark, landed, tmp
     assert rows(got.where("h < '2024-01-03'")) == rows(want.where("h < '2024-01-03'"))
 
 
-def test_late_events_of_the_live_counts_are_reported(spark, landed, tmp_path):
-    """A file lands two hours late: within three hours it counts, within one it is reported."""
-    results = {}
-    for late in ("1 hour", "3 hours"):
-        folder = tmp_path / late.replace(" ", "")
-        source, target = folder / "in", str(folder / f"live-{uuid.uuid4().hex}")
-        source.mkdir(parents=True)
+def batch_counts(spark, source):
+    timed = read_activity(spark, str(source))
+    return {name: rows(build_repos(timed)) if name == "repos" else rows(
+        with_event_time(timed).where("event_ts IS NOT NULL").groupBy("date", "hour", "type").agg(F.count("*").alias("total_events")))
+        for name in live.LIVE}
 
-        def run(source=source, target=target, late=late, folder=folder):
-            return live.run_live(stream_activity(spark, str(source)), target, str(folder / "p"), late, ("hourly_counts",))
 
-        land(source, "2024-01-01-5", [push("2024-01-01T05:10:00Z")])
-        run()
-        land(source, "2024-01-01-7", [push("2024-01-01T07:30:00Z")])
+def live_counts(spark, target, late=None):
+    return {name: rows(live.read_live(spark, target, name, late)) for name in live.LIVE}
+
+
+@pytest.fixture
+def followed(spark, tmp_path):
+    """A folder, an output, and a run that takes up what has landed."""
+    source, target = tmp_path / "live-in", str(tmp_path / f"live-{uuid.uuid4().hex}")
+    source.mkdir()
+
+    def run(progress="p", **options):
+        return live.run_live(stream_activity(spark, str(source), max_files_per_trigger=1), target, str(tmp_path / progress), **options)
+
+    return source, target, run
+
+
+def test_live_counts_take_late_files_and_report_them(spark, followed):
+    source, target, run = followed
+    for name, at in (("2024-01-01-5", "05:10"), ("2024-01-01-7", "07:30")):
+        land(source, name, [push(f"2024-01-01T{at}:00Z"), "{broken"])
+        assert run(late="1 hour") == {"hourly_counts": 0, "repos": 0}
+    land(source, "2024-01-01-4", [push("2024-01-01T05:20:00Z")])  # two hours late
+    assert run(late="1 hour") == {"hourly_counts": 1, "repos": 1}
+    assert live_counts(spark, target) == batch_counts(spark, source)
+    assert {r.hour: r.total_events for r in live.read_live(spark, target, "hourly_counts").collect()} == {5: 2, 7: 1}
+    assert [r.hour for r in live.read_live(spark, target, "hourly_counts", "1 hour").collect()] == [5]
+    assert live.read_live(spark, target, "hourly_counts", "3 hours").count() == 0
+
+
+def test_live_counts_with_another_lateness(spark, followed):
+    """Files 0 to 3 with one hour, six further files and one of hour 20 with three."""
+    source, target, run = followed
+    for hour in range(4):
+        land(source, f"2024-01-01-{hour}", [push(f"2024-01-01T{hour:02}:10:00Z")])
+    run(late="1 hour")
+    for hour in (4, 5, 6, 7, 8, 9, 20):
+        land(source, f"2024-01-01-{hour}", [push(f"2024-01-01T{hour:02}:10:00Z")])
+        os.utime(source / f"2024-01-01-{hour}.json.gz", (1_900_000_000 + hour,) * 2)  # read in this order
+    assert run(late="3 hours") == {"hourly_counts": 0, "repos": 0}
+    assert live_counts(spark, target) == batch_counts(spark, source)
+    assert sorted(r.hour for r in live.read_live(spark, target, "hourly_counts", "3 hours").collect()) == list(range(10))
+
+
+def test_live_counts_with_lost_progress(spark, followed, own_progress):
+    source, target, run = followed
+    for hour in range(3):
+        land(source, f"2024-01-01-{hour}", [push(f"2024-01-01T{hour:02}:10:00Z"), member(f"2024-01-01T{hour:02}:50:00Z")])
+    run()
+    land(source, "2024-01-02-0", [push("2024-01-01T02:59:00Z")])
+    run("lost")
+    run("lost again", only=("repos",))
+    assert live_counts(spark, target) == batch_counts(spark, source)
+
+
+def test_live_counts_after_a_failure_between_two_rollups(spark, followed, monkeypatch):
+    source, target, run = followed
+    land(source, "2024-01-01-5", [push("2024-01-01T05:10:00Z")])
+    real, calls = live.exists, []
+
+    def flaky(session, path):
+        if "/repos/source_file=" in path and not calls:
+            calls.append(path)
+            raise RuntimeError("lost behind the first rollup")
+        return real(session, path)
+
+    monkeypatch.setattr(live, "exists", flaky)
+    with pytest.raises(Exception, match="lost behind"):
         run()
-        land(source, "2024-01-01-4", [push("2024-01-01T05:20:00Z")])
-        lost = run()
-        land(source, "2024-01-02-0", [push("2024-01-02T00:00:00Z")])
+    run()
+    assert live_counts(spark, target) == batch_counts(spark, source)
+
+
+def test_live_counts_of_an_earlier_layout_are_refused(spark, followed, tmp_path):
+    source, target, run = followed
+    pathlib.Path(f"{target}/repos/_spark_metadata").mkdir(parents=True)
+    with pytest.raises(ValueError, match="earlier version"):
         run()
-        counts = {r.hour: r.total_events for r in spark.read.parquet(f"{target}/hourly_counts").where("date = '2024-01-01'").collect()}
-        results[late] = lost["hourly_counts"], counts
-    assert results == {"1 hour": (1, {5: 1, 7: 1}), "3 hours": (0, {5: 2, 7: 1})}
+
+
+def test_live_counts_of_nothing(spark, followed):
+    source, target, run = followed
+    assert run() == {"hourly_counts": 0, "repos": 0}
+    assert live.read_live(spark, target, "repos", "1 hour").count() == 0
 
 
 def test_the_cluster_names_the_checkpoint_folder():
