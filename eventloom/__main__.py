@@ -3,6 +3,8 @@
     python -m eventloom extract IN_ROOT FACTS_ROOT 2024-01-01 [--until DAY] [--facts repos commits]
     python -m eventloom metrics FACTS_ROOT OUT_ROOT 2024-01-31 [--from DAY] [--to DAY] [--only NAME ...] [--limit N]
     python -m eventloom missing IN_ROOT 2024-01-01 [--until DAY]
+    python -m eventloom compact FACTS_ROOT 2024-01-31 [--file-size 128MB]
+    python -m eventloom sql FACTS_ROOT "SELECT * FROM commits_gt1(DATE'2024-01-01', DATE'2024-01-31') LIMIT 20"
     python -m eventloom follow IN_ROOT FACTS_ROOT [--checkpoint DIR] [--clean delete] [--afresh]
     python -m eventloom live IN_ROOT OUT_ROOT [--late "1 hour"]
 
@@ -13,8 +15,10 @@ from __future__ import annotations
 
 import argparse
 
+from eventloom.plans.compact import FILE_SIZE, compact
 from eventloom.plans.daily import METRICS, STATISTICS, run_days, run_metrics
 from eventloom.schemas import FACTS, input_schema
+from eventloom.plans.sql import register
 from eventloom.session import get_session
 from eventloom.sources.raw import missing_files, stream_activity
 from eventloom.streaming.live import LIVE, run_live, stream_facts
@@ -50,6 +54,17 @@ def _parser() -> argparse.ArgumentParser:
     metrics.add_argument("--only", nargs="+", choices=[*METRICS, *STATISTICS], default=list(METRICS))
     metrics.add_argument("--limit", type=int, default=0, help="first rows of each; 0 for all")
 
+    packed = jobs.add_parser("compact", help="bring the batches of closed days together in few files")
+    packed.add_argument("facts_root")
+    packed.add_argument("before", help="the first day that is left alone")
+    packed.add_argument("--facts", nargs="+", choices=list(FACTS), default=list(FACTS))
+    packed.add_argument("--file-size", default=FILE_SIZE)
+
+    ask = jobs.add_parser("sql", help="show the rows of a SQL text over the facts and their metric functions")
+    ask.add_argument("facts_root")
+    ask.add_argument("text")
+    ask.add_argument("--rows", type=int, default=100, help="rows shown at most")
+
     follow = jobs.add_parser("follow", help="append facts from newly landed files")
     follow.add_argument("in_root")
     follow.add_argument("facts_root")
@@ -88,6 +103,12 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "missing":
         for row in missing_files(spark, args.in_root, args.day, args.until).toLocalIterator():
             print(row.file_name)
+    elif args.job == "compact":
+        for fact, batches in compact(spark, args.facts_root, args.before, args.facts, args.file_size).items():
+            print(f"{fact}: {batches} batches brought together")
+    elif args.job == "sql":
+        register(spark, args.facts_root)
+        spark.sql(args.text).show(args.rows, truncate=False)
     elif args.job == "live":
         activity = stream_activity(spark, args.in_root, args.files_at_once)
         for name, groups in run_live(activity, args.out_root, args.checkpoint, args.late, args.only).items():

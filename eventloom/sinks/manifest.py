@@ -64,6 +64,10 @@ class Manifest:
         else:
             days.pop(day, None)
 
+    def retire(self, fact: str, day: str, batch: str) -> None:
+        """Marks files that never counted for removal."""
+        self.retired.append((fact, day, batch, time.time()))
+
     def condition(self, fact: str) -> Column:
         """On the partition columns of a stored fact: whether a row counts."""
         keys = [f"{day}/{batch}" for day, batches in sorted(self.live.get(fact, {}).items()) for batch in batches]
