@@ -1,9 +1,9 @@
 """Lines that several documents share are kept in one of them only.
 
-Lines are split, normalised, hashed and exploded; documents are counted per hash;
-each document gets the set of its hashes to drop and is put together again from
-its lines in their order. Only hashes are shuffled for the count; texts are
-shuffled once, by document, to meet what they lose.
+Lines are exploded with their position, normalised and hashed; documents are counted
+per hash; what a document loses comes back as positions, and its text is put together
+from the others in their order. Hashes are staged and shuffled for the count; texts are
+shuffled once, by document, to meet the positions. All of it is linear in a text.
 """
 
 from __future__ import annotations
@@ -29,8 +29,9 @@ def _lines(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n")
 
 
-def _hash(key: Column) -> Column:
-    return F.xxhash64(key)
+def _hashes(text: Column) -> list[Column]:
+    """128 bits: one hash would give false matches among 10^12 lines."""
+    return [F.xxhash64(text), F.xxhash64(F.lit(1), text)]
 
 
 def drop_repeated_lines(
@@ -51,14 +52,17 @@ def drop_repeated_lines(
     null counts for nothing and keeps its lines. Columns of ``docs`` with the
     names of the three new ones are replaced. An empty table gives no rows.
     """
-    text = F.col(f"`{text_col}`")
-    keys = F.array_distinct(F.transform(_lines(text), line_key))
-    keys = F.filter(keys, lambda k: F.char_length(k) >= min_chars)
-    # 128 bits: one hash would give false matches among 10^12 lines.
-    hashed = F.transform(keys, lambda k: F.struct(_hash(k).alias("h1"), F.xxhash64(F.lit(1), k).alias("h2")))
-    held = docs.where(F.col(f"`{id_col}`").isNotNull()).select(
-        F.col(f"`{id_col}`").alias("id"), F.explode(hashed).alias("h")
-    ).select("id", "h.h1", "h.h2")
+    # Rows of one id and text lose the same positions: they are known by both, as hashes.
+    # Columns of ``docs`` stay in a struct, where no name can clash.
+    text = F.col(f"`{text_col}`").cast("string")
+    t1, t2 = _hashes(F.coalesce(text, F.lit("")))
+    # The text is hashed below the lines, not anew for each of them.
+    known = docs.where(F.col(f"`{id_col}`").isNotNull()).select(
+        F.col(f"`{id_col}`").alias("id"), t1.alias("t1"), t2.alias("t2"), text.alias("text")
+    ).select("id", "t1", "t2", F.posexplode(_lines(F.col("text"))).alias("pos", "line"))
+    keyed = known.withColumn("key", line_key(F.col("line"))).where(F.char_length("key") >= min_chars)
+    h1, h2 = _hashes(F.col("key"))
+    held = stage(keyed.select("id", "t1", "t2", "pos", h1.alias("h1"), h2.alias("h2")), "held")
     many = F.min("id") != F.max("id") if min_docs == 2 else F.count_distinct("id") >= min_docs
     shared = held.groupBy("h1", "h2").agg(F.min("id").alias("first"), many.alias("many"))
     # Staged, so that the join below has an exchange on either side and a hash
@@ -67,23 +71,22 @@ def drop_repeated_lines(
     lost = (
         held.join(shared, ["h1", "h2"])
         .where("id <> first")
-        .groupBy("id")
-        .agg(F.collect_set("h1").alias("lost"))  # at most the lines of one document
-        .withColumnRenamed("id", "__lost_id")
-        .withColumnRenamed("lost", "__lost")
+        .groupBy("id", "t1", "t2")
+        .agg(F.collect_set("pos").alias("lost"))  # at most the lines of one document
     )
-    lines = _lines(text)
-    stays = F.when(
-        F.col("__lost").isNull(), lines
-    ).otherwise(
-        F.filter(lines, lambda x: ~F.array_contains("__lost", _hash(line_key(x)))
-                 | (F.char_length(line_key(x)) < min_chars))
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col(f"`{id_col}`").alias("id"), t1.alias("t1"), t2.alias("t2"))
+    # Out of a generator of one row, the lines are split once and not anew for each position.
+    met = whole.join(lost, ["id", "t1", "t2"], "left")
+    met = met.select("doc", "lost", F.explode(F.array(_lines(F.col("doc")[text_col].cast("string")))).alias("lines"))
+    # array_except goes by a hash set and keeps the order.
+    kept = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.coalesce("lost", F.array().cast("array<int>")))
+    done = met.select(
+        "doc",
+        F.size("lines").cast("long").alias("n_lines"),
+        F.coalesce(F.size("lost"), F.lit(0)).cast("long").alias("n_dropped"),
+        F.array_join(F.when(F.col("lost").isNull(), F.col("lines")).otherwise(F.transform(kept, lambda p: F.get("lines", p))), "\n").alias("kept_text"),
     )
-    return (
-        docs.join(lost, F.col(f"`{id_col}`") == F.col("__lost_id"), "left")
-        .withColumn("__kept", stays)
-        .withColumn("n_lines", F.size(lines).cast("long"))
-        .withColumn("n_dropped", F.col("n_lines") - F.size("__kept"))
-        .withColumn("kept_text", F.array_join("__kept", "\n"))
-        .drop("__lost_id", "__lost", "__kept")
+    new = [c for c in done.columns if c != "doc"]
+    return done.select(
+        *[(F.col(c) if c in new else F.col("doc")[c]).alias(c) for c in docs.columns], *[c for c in new if c not in docs.columns]
     )

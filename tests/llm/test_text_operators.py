@@ -67,6 +67,23 @@ def test_lines_of_an_empty_table_and_of_clashing_columns(spark):
     assert (rows[2].n_lines, rows[2].n_dropped, rows[2].kept_text, rows[2].first) == (1, 1, "", "h1")
 
 
+def test_many_shared_lines_of_long_documents(spark):
+    """Linear in the lines: two documents of 60,000 shared ones."""
+    lines = [f"a line that both hold, number {i}" for i in range(60_000)]
+    docs = spark.createDataFrame([(1, "\n".join(lines)), (2, "\n".join([*lines, "own", lines[0]]))], "doc_id long, text string")
+    first, second = line_dedup.drop_repeated_lines(docs).orderBy("doc_id").collect()
+    assert (first.n_lines, first.n_dropped, first.kept_text) == (60_000, 0, "\n".join(lines))
+    assert (second.n_lines, second.n_dropped, second.kept_text) == (60_002, 60_001, "own")
+
+
+def test_lines_of_rows_with_one_id_and_clashing_names(spark):
+    shared = "a line that is shared"
+    rows = [(1, f"{shared}\nx", 9, "l"), (2, f"y\n{shared}", 9, "l"), (2, f"{shared}\nz", 9, "l"), (2, f"{shared}\nz", 9, "l"), (None, shared, 9, "l")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lost int, lines string")
+    got = sorted((str(r.doc_id), r.kept_text, r.n_dropped, r.lost, r.lines) for r in line_dedup.drop_repeated_lines(docs).collect())
+    assert got == [("1", f"{shared}\nx", 0, 9, "l"), ("2", "y", 1, 9, "l"), ("2", "z", 1, 9, "l"), ("2", "z", 1, 9, "l"), ("None", shared, 0, 9, "l")]
+
+
 def test_line_threshold(spark):
     frame = spark.createDataFrame([(i, f"held by three\nheld by two {min(i, 2)}") for i in (1, 2, 3)], "doc_id long, text string")
     rows = line_dedup.drop_repeated_lines(frame, min_docs=3).collect()
