@@ -10,7 +10,6 @@ rest into powers of two, so nothing is padded.
 
 from __future__ import annotations
 
-import functools
 import json
 import re
 import unicodedata
@@ -22,6 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from eventloom.llm.staging import keep
 from eventloom.llm.words import SPACE, IdTable, WordHasher, chunks, cut, mix
 
 WINDOW = 2048
@@ -40,6 +40,12 @@ def _plain(kind: str) -> str:
     return "".join(f"\\u{c:04x}" for c in points)
 
 
+def _two_byte_letters() -> str:
+    """A character class of the plain letters beyond ASCII whose lower case is one such letter again."""
+    letters = {chr(c) for c in range(0xC0, _PLAIN_END) if unicodedata.category(chr(c)).startswith("L")}
+    return "".join(f"\\u{ord(c):04x}" for c in sorted(letters) if c.lower() in letters)
+
+
 def _byte_of_symbol() -> dict[str, int]:
     """Byte-level vocabularies write a byte as itself if it is printable, else as one of the next free code points."""
     printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -62,8 +68,9 @@ class WordTokenizer:
         self._file, self._tokenizer = file, None
         letters, numbers = _plain("L"), _plain("N")
         self._words = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^ {letters}{numbers}]+")
-        # The next unit borders go by bytes: ASCII letters, and two bytes from U+00C0 on but two signs.
-        self._odd = re.compile("[^\\t-\\r -~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f]|<\\|")
+        # Unit borders go by bytes: ASCII letters, and two bytes from U+00C0 on but two signs and
+        # what becomes more than a letter in lower case.
+        self._odd = re.compile(f"[^\\t-\\r -~{_two_byte_letters()}]|<\\|")
         # The same vocabulary by bytes, a null byte for the end of a word: ids are in merge order.
         with open(file, encoding="utf-8") as source:
             model = json.load(source)
@@ -131,11 +138,6 @@ class WordTokenizer:
         return starts, np.flatnonzero(ends_here) + 1 - starts
 
 
-@functools.lru_cache(maxsize=2)
-def _tokenizer(file: str) -> WordTokenizer:
-    return WordTokenizer(file)
-
-
 class SumOfSquaresPacker:
     """Places lengths below ``window`` into open windows.
 
@@ -234,7 +236,7 @@ def pack_documents(
     end = np.array([end_id], _IDS).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = _tokenizer(tokenizer_file)
+        tokenizer = keep("words", tokenizer_file, lambda: WordTokenizer(tokenizer_file))
         first = TaskContext.get().partitionId() << _TASK_BITS
         id_types = []
 

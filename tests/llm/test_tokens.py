@@ -99,6 +99,16 @@ def test_word_ids_equal_the_library(word_tokenizer):
         assert numbers(ids) == word_tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
+def test_word_ids_of_every_plain_character_beside_every_kind_of_neighbour(word_tokenizer):
+    """Letter, digit, mark, apostrophe, space, accented letter and the end; both cases are among the characters."""
+    own, library = packing.WordTokenizer(vocabulary("word_bpe_49k.json")), word_tokenizer
+    beside = ["", "a", "7", "!", "'", " ", "É", "."]
+    texts = [left + chr(c) + right for c in range(0x180) for left in beside for right in beside]
+    texts += [left + a + b + right for a in "İıſŉKÅ’'" for b in "İi.,'sé" for left in beside for right in beside]
+    for text, ids, wanted in zip(texts, own.encode_all(texts), library.encode_batch(texts, add_special_tokens=False)):
+        assert np.frombuffer(ids, "<u4").tolist() == wanted.ids, repr(text)
+
+
 def test_table_of_units_forgets(word_tokenizer):
     own = packing.WordTokenizer(vocabulary("word_bpe_49k.json"))
     own._table._most = 300
