@@ -35,8 +35,11 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with ``text`` and ``n_chars`` of the lines that stay."""
-    cleaned = line_dedup.drop_repeated_lines(docs).withColumn("text", F.col("kept_text"))
-    return cleaned.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
+    # The columns travel in a struct: none can be taken for one that the operator adds.
+    rows = docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    cleaned = line_dedup.drop_repeated_lines(rows)
+    new = {"text": F.col("kept_text"), "n_chars": F.char_length("kept_text").cast("long")}
+    return cleaned.select(*[(new[c] if c in new else F.col("doc")[c]).alias(c) for c in docs.columns])
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

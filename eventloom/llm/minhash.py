@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 
 from eventloom.llm.blocks import in_blocks, roots
 from eventloom.llm.components import connected_components
-from eventloom.llm.staging import arrow_batches, stage
+from eventloom.llm.staging import arrow_batches, give_back, let_go, stage
 from eventloom.llm.words import LOWER, WordHasher, chunks, mix, spread, starts_of_words
 
 WORDS, PERCENT = 5, 75
@@ -94,6 +94,7 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    let_go()
     for batch in batches:
         sets = list(shingle_sets(batch.column(1).to_pylist()))
         full = [s for s in sets if len(s)]
@@ -112,9 +113,11 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ],
             ["id", "n_shingles", "same", "bands", "minima"],
         )
+    give_back()
 
 
 def _to_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    let_go()
     for batch in batches:
         sets = [s.tobytes() for s in shingle_sets(batch.column(1).to_pylist())]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["id", "shingles"])
@@ -282,5 +285,5 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, with all their columns, whose document is kept by ``near_duplicates``."""
     found = near_duplicates(docs, id_col, text_col)
-    lost = found.where("not kept").select(F.col(id_col).alias("__lost")).distinct()
-    return docs.join(lost, F.col(f"`{id_col}`").cast("long") == F.col("__lost"), "left_anti")
+    lost = found.where("not kept").select(F.col(id_col).alias("id")).distinct()
+    return docs.join(lost, docs[f"`{id_col}`"].cast("long") == lost["id"], "left_anti")

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventloom.llm.staging import stage
+from eventloom.llm.staging import let_go, stage
 from eventloom.llm.words import LOWER, SPACE, WordHasher, chunks, starts_of_words
 
 #: Weight of the pooled covariance in a class's, and of the identity in both.
@@ -157,6 +157,7 @@ def one_label_each(labels: DataFrame, label: str, id_col: str) -> DataFrame:
 
 
 def _moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    let_go()
     k = len(STATISTICS)
     sums = np.zeros((2, 1 + k + k * k))
     for batch in batches:

@@ -12,7 +12,6 @@ is a logistic function of its total, of its worst window and of their density.
 
 from __future__ import annotations
 
-import functools
 import math
 import pickle
 import re
@@ -26,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.llm.quality import is_held_out, one_label_each
-from eventloom.llm.staging import stage
+from eventloom.llm.staging import keep, stage
 
 #: At most about so many labelled rows of each class are learned from.
 MAX_TOXIC, MAX_CLEAN = 4_000, 12_000
@@ -52,7 +51,8 @@ ADDRESSING = frozenset(
 _WORD = re.compile(r"[^\W\d_]+")
 _PIECES = re.compile(r"([^\W\d_]+)")
 _END = "$"
-_CACHED = 200_000
+#: Words whose hits, and states whose moves, a model remembers at most; then it forgets them all.
+_CACHED, _STATES = 100_000, 5_000
 #: Counted keys that a task holds at most before it passes them on.
 _HELD = 100_000
 
@@ -87,6 +87,9 @@ class LexiconAutomaton:
             (self.whole if term.endswith(_END) else self.begin)[node] = number
         self.most = allowed
         self.alphabet = {char for below in self.children for char in below}
+        self._forget()
+
+    def _forget(self) -> None:
         self._numbers: dict[tuple, int] = {}
         self._states: list[tuple] = []
         self._moves: list[dict[str, int]] = []
@@ -138,6 +141,8 @@ class LexiconAutomaton:
 
     def match(self, word: str) -> tuple[int, int] | None:
         """(edits, term) of the term with the fewest edits, the first of these; None if none fits."""
+        if len(self._states) >= _STATES:
+            self._forget()
         state, best = self._start, None
         for char in word:
             moves = self._moves[state]
@@ -418,7 +423,9 @@ def learn_toxicity(
     place = F.pmod(F.xxhash64("id"), F.lit(1_000_000)) / 1_000_000
     chosen = one.where(place < F.when(F.col("label") == 1, share[1]).otherwise(share[0]))
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    train = rows.join(F.broadcast(chosen), "id").select(F.monotonically_increasing_id().alias("place"), "text", "label")
+    # An id on many rows is learned from once, by its smallest text.
+    train = rows.join(F.broadcast(chosen), "id").groupBy("id", "label").agg(F.min("text").alias("text"))
+    train = train.select(F.monotonically_increasing_id().alias("place"), "text", "label")
     train = _with_kinds(stage(train, "toxic")).repartition(24)
     seen = {r.kind: r.n for r in train.groupBy("kind").agg(F.count(F.lit(1)).alias("n")).collect()}
     n_texts, n_clean = seen.get(_TOXIC, 0), seen.get(_CLEAN, 0)
@@ -494,18 +501,13 @@ def _fit(
     return ToxicityModel(terms, weights, bend), [r.place for r, v in zip(sample, x @ bend) if r.label == 1 and v < 0]
 
 
-@functools.lru_cache(maxsize=2)
-def _loaded(data: bytes) -> ToxicityModel:
-    return pickle.loads(data)
-
-
 def score_udf(model: ToxicityModel) -> object:
     """A function of a text column; the model, at most ``MAX_TERMS`` terms, goes with it."""
     data = pickle.dumps(model)
 
     @F.arrow_udf("double")
     def score(texts: pa.Array) -> pa.Array:
-        ready = _loaded(data)
+        ready = keep("toxicity", data, lambda: pickle.loads(data))
         return pa.array([ready.score(t) for t in texts.to_pylist()], pa.float64())
 
     return score

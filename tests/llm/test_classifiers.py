@@ -43,6 +43,27 @@ def test_automaton_equals_plain_edit_distances():
         assert automaton.match(word) == plain_match(word, terms), word
 
 
+def test_automaton_forgets_states_and_finds_the_same(monkeypatch):
+    rng = random.Random(5)
+    terms = sorted({"".join(rng.choices("abcd", k=rng.randint(5, 10))) + rng.choice(["", "$"]) for _ in range(60)})
+    words = ["".join(rng.choices("abcde", k=rng.randint(1, 14))) for _ in range(400)]
+    whole = toxicity.LexiconAutomaton(terms)
+    wanted = [whole.match(w) for w in words]
+    monkeypatch.setattr(toxicity, "_STATES", 20)
+    bounded = toxicity.LexiconAutomaton(terms)
+    assert [bounded.match(w) for w in words] == wanted
+    assert len(bounded._states) < len(whole._states) and len(bounded._states) < 20 + 14
+
+
+def test_a_labelled_id_on_many_rows_is_learned_from_once(spark):
+    docs = [(i, f"you are a horrid blatherskite {i} times" if i < 20 else f"the weather is fine on day {i}") for i in range(60)]
+    labels = spark.createDataFrame([(i, int(i < 20)) for i in range(60)], "doc_id long, toxic int")
+    once = spark.createDataFrame(docs, "doc_id long, text string")
+    often = spark.createDataFrame(docs + [docs[25]] * 500, "doc_id long, text string")
+    one, many = (toxicity.learn_toxicity(frame, labels) for frame in (once, often))
+    assert one.terms == many.terms and one.weights == many.weights and np.allclose(one.bend, many.bend)
+
+
 def test_terms_give_way_to_longer_ones():
     rows = [("idi", 40, 3, 50.0), ("idio", 40, 0, 80.0), ("idiot", 40, 0, 80.0), ("idiot$", 39, 0, 78.0), ("réeux", 20, 0, 40.0), ("réeuxa", 5, 0, 10.0)]
     assert toxicity.choose_terms(rows) == ["idiot$", "réeux"]

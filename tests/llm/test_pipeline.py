@@ -86,6 +86,28 @@ def test_stages_of_no_rows_and_of_nulls(spark, name):
         assert sorted(map(str, ids)) == ["-1", "-1", "-2", "None"]
 
 
+def test_columns_named_like_those_of_operators_keep_their_values(spark):
+    extra = ["n_lines", "n_dropped", "kept_text", "lost", "id", "score"]
+    rows = [(i, "a line that several documents hold\nand one of their own", "en", "s", 1, *range(6)) for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{n} int" for n in extra))
+    for name in ("line_dedup", "near_dedup"):
+        out = dict(corpus_pipeline.STAGES)[name](spark, docs, SF)
+        assert out.columns == docs.columns
+        assert {tuple(r[n] for n in extra) for r in out.collect()} == {tuple(range(6))}
+
+
+def test_a_cluster_has_to_name_a_shared_folder(spark):
+    from types import SimpleNamespace
+
+    from eventloom.llm.staging import shared_root
+
+    def session(master):
+        return SimpleNamespace(conf={}, sparkContext=SimpleNamespace(master=master))
+
+    with pytest.raises(ValueError, match="shares"):
+        shared_root(session("spark://host:7077"))
+
+
 def test_classifier_stages_keep_what_scores_say(spark):
     docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
     scored = {r.doc_id for r in quality.score_quality(docs, labels).collect() if r.predicted}
