@@ -222,7 +222,7 @@ ORACLE: dict[str, str] = {
     ),
     "missing_hours": f"""
         WITH {_ACTIVITY},
-        seen AS (SELECT DISTINCT date, hour FROM activity WHERE date IS NOT NULL),
+        seen AS (SELECT DISTINCT date, hour FROM activity WHERE date IS NOT NULL AND type = 'IssuesEvent'),
         spine AS (
             SELECT CAST(t.d AS DATE) AS date, CAST(hour(t.d) AS INTEGER) AS hour
             FROM (SELECT min(date) AS lo, max(date) AS hi FROM seen) AS s,

@@ -38,14 +38,16 @@ def events_per_repo(activity: DataFrame) -> DataFrame:
     )
 
 
-def missing_hours(activity: DataFrame) -> DataFrame:
-    """Hours without events from the first to the last day seen.
+def missing_hours(activity: DataFrame, event_type: str | None = None) -> DataFrame:
+    """Hours without events, or without events of a type, from the first to the last day seen with one.
 
     ``file_name`` is the file such events would be in. It may have landed and be
     empty: ``sources.missing_files`` goes by the files. Both sides of the
     anti-join are as long as the calendar, and both come from the same shuffle:
     the count keeps the calendar from being read off the activity once more.
     """
+    if event_type:
+        activity = activity.where(F.col("type") == event_type)
     seen = (
         with_event_time(activity)
         .where("date IS NOT NULL AND hour IS NOT NULL")

@@ -39,20 +39,23 @@ def location(spark: SparkSession, target: str):
 
 @dataclass
 class Manifest:
-    """``live``: the batches of each fact by day of the files; ``retired``: (fact, day, batch, since)."""
+    """``live``: the batches of each fact by day of the files; ``retired``: (fact, day, batch, since);
+    ``streams``: the number of the last batch of each stream, by fact."""
 
     live: dict[str, dict[str, list[str]]] = field(default_factory=dict)
     retired: list[tuple[str, str, str, float]] = field(default_factory=list)
+    streams: dict[str, dict[str, int]] = field(default_factory=dict)
     version: int = -1
 
     def batches(self, fact: str, day: str) -> list[str]:
         return self.live.get(fact, {}).get(day, [])
 
-    def knows(self, fact: str, batch: str) -> bool:
-        """Whether a batch has been in place, be it replaced by now."""
-        return any(batch in found for found in self.live.get(fact, {}).values()) or any(
-            (r[0], r[2]) == (fact, batch) for r in self.retired
-        )
+    def follows(self, fact: str, query: str, number: int) -> bool:
+        """Whether a batch of a stream has not been in place yet. Notes are kept of the last one, also where it is replaced."""
+        return self.streams.get(fact, {}).get(query, -1) < number
+
+    def note(self, fact: str, query: str, number: int) -> None:
+        self.streams.setdefault(fact, {})[query] = number
 
     def put(self, fact: str, day: str, batches: list[str]) -> None:
         """Lets ``batches`` alone count for a day; what counted before is retired."""
@@ -127,7 +130,7 @@ def read_manifest(spark: SparkSession, root: str) -> Manifest | None:
         return None
     number, path = versions[-1]
     found = json.loads(_read(spark, path))
-    return Manifest(found["live"], [tuple(r) for r in found["retired"]], number)
+    return Manifest(found["live"], [tuple(r) for r in found["retired"]], found["streams"], number)
 
 
 def _adopted(spark: SparkSession, root: str) -> Manifest:
@@ -153,7 +156,7 @@ def commit(spark: SparkSession, root: str, change: Callable[[Manifest], None]) -
         manifest = read_manifest(spark, root) or _adopted(spark, root)
         change(manifest)
         manifest.version += 1
-        text = json.dumps({"live": manifest.live, "retired": manifest.retired})
+        text = json.dumps({"live": manifest.live, "retired": manifest.retired, "streams": manifest.streams})
         if _create(spark, f"{root.rstrip('/')}/{_FOLDER}/{manifest.version:020d}.json", text):
             return manifest
 

@@ -73,7 +73,7 @@ def stream_facts(
         query = session.sparkContext.getLocalProperty("sql.streaming.queryId")
         stored = f"{_STREAM}{query}-{batch_id}"
         manifest = read_manifest(session, out_root)
-        if manifest and any(manifest.knows(name, stored) for name in facts):
+        if manifest and not all(manifest.follows(name, query, batch_id) for name in facts):
             return
         with staged(with_event_time(batch), out_root) as rows:
             for name in facts:
@@ -82,6 +82,7 @@ def stream_facts(
 
         def add(manifest: Manifest) -> None:
             for name in facts:
+                manifest.note(name, query, batch_id)
                 for day in days:
                     manifest.put(name, day, [*manifest.batches(name, day), stored])
 

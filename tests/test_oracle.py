@@ -20,7 +20,7 @@ EXPECTED_ROWS = {
                 "inactive_days": 12_723, "projects_gt10_members": 0},
     "sf0.01": {"repos_hourly": 5_857, "commits_fact": 5_820, "members_fact": 1_672,
                "repo_owners_gt1": 34, "commits_ge2_per_day": 480, "commits_le1_per_day": 4_792,
-               "inactive_days": 24_638, "projects_gt10_members": 42, "missing_hours": 0},
+               "inactive_days": 24_638, "projects_gt10_members": 42, "missing_hours": 42},
 }
 SPARK_TO_DUCKDB = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "date": "DATE",
                    "timestamp_ntz": "TIMESTAMP", "double": "DOUBLE"}

@@ -101,6 +101,24 @@ def test_a_repeated_batch_replaces_itself(spark, landed, out, tmp_path, monkeypa
     assert facts_of(spark, out) == {n: rows(b(activity)) for n, b in BUILDERS.items()}
 
 
+def test_a_batch_that_counts_is_not_stored_again_even_where_it_was_replaced(spark, landed, out, tmp_path, monkeypatch):
+    """The stream breaks behind the commit; a batch run takes the days over before it goes on."""
+    real = live.commit
+
+    def flaky(*args):
+        real(*args)
+        raise RuntimeError("lost behind the commit")
+
+    monkeypatch.setattr(live, "commit", flaky)
+    with pytest.raises(Exception, match="lost behind"):
+        stream_facts(stream_activity(spark, landed), out, str(tmp_path / "p")).awaitTermination()
+    monkeypatch.undo()
+    assert facts_of(spark, out) == built(spark, landed)
+    run_days(spark, landed, out, "2024-01-01", "2024-01-03", keep_seconds=0)
+    stream_facts(stream_activity(spark, landed), out, str(tmp_path / "p")).awaitTermination()
+    assert facts_of(spark, out) == built(spark, landed)
+
+
 def test_a_new_checkpoint_over_streamed_facts_is_refused(spark, landed, out, tmp_path, own_progress):
     stream_facts(stream_activity(spark, landed), out, str(tmp_path / "p")).awaitTermination()
     land(pathlib.Path(landed), "2024-01-03-11", [push("2024-01-03T11:00:00Z", authors=("New",))])
