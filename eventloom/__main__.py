@@ -1,9 +1,11 @@
 """Command line of the daily jobs.
 
     python -m eventloom extract IN_ROOT FACTS_ROOT 2024-01-01 [--until DAY] [--facts repos commits]
-    python -m eventloom metrics FACTS_ROOT OUT_ROOT 2024-01-31 [--from DAY] [--to DAY] [--only NAME ...] [--limit N]
+    python -m eventloom metrics FACTS_ROOT OUT_ROOT 2024-01-31 [--from DAY] [--to DAY] [--only NAME ...] [--limit N] [--kept]
     python -m eventloom missing IN_ROOT 2024-01-01 [--until DAY]
     python -m eventloom compact FACTS_ROOT 2024-01-31 [--file-size 128MB]
+    python -m eventloom advance FACTS_ROOT [--sets NAME ...]
+    python -m eventloom landed IN_ROOT INDEX_ROOT 2024-01-01 [--until DAY]
     python -m eventloom sql FACTS_ROOT "SELECT * FROM commits_gt1(DATE'2024-01-01', DATE'2024-01-31') LIMIT 20"
     python -m eventloom follow IN_ROOT FACTS_ROOT [--checkpoint DIR] [--clean delete] [--afresh]
     python -m eventloom live IN_ROOT OUT_ROOT [--late "1 hour"]
@@ -18,8 +20,10 @@ import argparse
 from eventloom.plans.compact import FILE_SIZE, compact
 from eventloom.plans.daily import METRICS, STATISTICS, run_days, run_metrics
 from eventloom.schemas import FACTS, input_schema
+from eventloom.plans.incremental import SETS, advance
 from eventloom.plans.sql import register
 from eventloom.session import get_session
+from eventloom.sources.landed import hours_landed, index_files
 from eventloom.sources.raw import missing_files, stream_activity
 from eventloom.streaming.live import LIVE, run_live, stream_facts
 
@@ -54,6 +58,18 @@ def _parser() -> argparse.ArgumentParser:
     metrics.add_argument("--only", nargs="+", choices=[*METRICS, *STATISTICS], default=list(METRICS))
     metrics.add_argument("--limit", type=int, default=0, help="first rows of each; 0 for all")
 
+    metrics.add_argument("--kept", action="store_true", help="read what sets kept day by day answer from these")
+
+    kept = jobs.add_parser("advance", help="bring sets kept day by day up to the stored facts")
+    kept.add_argument("facts_root")
+    kept.add_argument("--sets", nargs="+", choices=list(SETS), default=list(SETS))
+
+    landed = jobs.add_parser("landed", help="index hourly files and list those that are missing, empty or cut off")
+    landed.add_argument("in_root")
+    landed.add_argument("index_root")
+    landed.add_argument("day")
+    landed.add_argument("--until", help="last day of a range")
+
     packed = jobs.add_parser("compact", help="bring the batches of closed days together in few files")
     packed.add_argument("facts_root")
     packed.add_argument("before", help="the first day that is left alone")
@@ -97,12 +113,20 @@ def main(argv: list[str] | None = None) -> None:
             print(f"{fact}: {rows} rows" + (f", ratio {ratio:.2f}" if ratio else ""))
     elif args.job == "metrics":
         for target in run_metrics(
-            spark, args.facts_root, args.out_root, args.run_date, args.date_from, args.date_to, args.only, args.limit
+            spark, args.facts_root, args.out_root, args.run_date, args.date_from, args.date_to, args.only, args.limit, args.kept
         ):
             print(target)
     elif args.job == "missing":
         for row in missing_files(spark, args.in_root, args.day, args.until).toLocalIterator():
             print(row.file_name)
+    elif args.job == "advance":
+        for name, days in advance(spark, args.facts_root, args.sets).items():
+            print(f"{name}: {days} days changed")
+    elif args.job == "landed":
+        index_files(spark, args.in_root, args.index_root, args.day, args.until)
+        hours = hours_landed(spark, args.in_root, args.index_root, args.day, args.until).where("state <> 'complete'")
+        for row in hours.toLocalIterator():
+            print(f"{row.file_name}: {row.state}")
     elif args.job == "compact":
         for fact, batches in compact(spark, args.facts_root, args.before, args.facts, args.file_size).items():
             print(f"{fact}: {batches} batches brought together")

@@ -14,6 +14,7 @@ from eventloom.operators import members as member_ops
 from eventloom.operators import owners as owner_ops
 from eventloom.operators import rollups
 from eventloom.operators.facts import BUILDERS
+from eventloom.plans.incremental import KEPT_METRICS, KEPT_SETS, advance
 from eventloom.schemas import FACTS, SOURCE_DATE, input_schema
 from eventloom.sinks.files import export_csv, new_run, remove, remove_unchanged, staged, write_fact
 from eventloom.sinks.manifest import KEEP_SECONDS, Manifest, begin, commit, keep_inputs, tidy
@@ -124,17 +125,29 @@ def run_metrics(
     date_to: str | None = None,
     only=tuple(METRICS),
     limit: int = 0,
+    kept: bool = False,
 ) -> list[str]:
     """Export metrics over all stored days, or over a range of them.
 
     ``only`` names metrics or further statistics; a positive ``limit`` keeps the
-    first rows of each by its own order, as a page of top entries does.
+    first rows of each by its own order, as a page of top entries does. With
+    ``kept``, metrics over all days that kept sets answer are read from these,
+    brought up to date before.
     """
     known = METRICS | STATISTICS
     if unknown := set(only) - known.keys():
         raise ValueError(f"unknown metrics: {sorted(unknown)}")
 
+    from_sets = KEPT_METRICS if kept and not (date_from or date_to) else {}
+    if asked := {KEPT_SETS[name] for name in only if name in from_sets}:
+        advance(spark, facts_root, sorted(asked))
+
     def result(name: str):
+        if name in from_sets:
+            rows = from_sets[name](spark, facts_root)
+            if limit > 0 and name == "commits_lt1":
+                rows = rows.orderBy("author_name", "interval_start_dt")
+            return rollups.with_limit(rows, limit)
         fact, metric = known[name]
         rows = read_fact(spark, facts_root, fact, date_from, date_to)
         if limit > 0 and name == "commits_lt1":

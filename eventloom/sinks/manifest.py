@@ -28,7 +28,8 @@ _FOLDER = ".manifest"
 #: Seconds that replaced files stay for readers that began before.
 KEEP_SECONDS = 24 * 3600
 _VERSIONS_KEPT = 20
-_UNDATED = "__HIVE_DEFAULT_PARTITION__"
+#: The name of the folder of rows without a day.
+UNDATED = "__HIVE_DEFAULT_PARTITION__"
 
 
 def location(spark: SparkSession, target: str):
@@ -77,12 +78,12 @@ class Manifest:
         if not keys:
             return F.lit(False)
         text = ", ".join("'" + key.replace("\\", "\\\\").replace("'", "\\'") + "'" for key in keys)
-        return F.expr(f"concat(coalesce(cast({SOURCE_DATE} as string), '{_UNDATED}'), '/', {BATCH}) IN ({text})")
+        return F.expr(f"concat(coalesce(cast({SOURCE_DATE} as string), '{UNDATED}'), '/', {BATCH}) IN ({text})")
 
 
 def day_key(day) -> str:
     """A day as the manifest and the folders name it; rows of files without one have a name too."""
-    return _UNDATED if day is None else str(day)
+    return UNDATED if day is None else str(day)
 
 
 def _versions(spark: SparkSession, root: str) -> list[tuple[int, object]]:
@@ -123,13 +124,27 @@ def _create(spark: SparkSession, target: str, text: str) -> bool:
         raise
 
 
+def latest_version(spark: SparkSession, root: str) -> tuple[int, str] | None:
+    """Number and text of the newest version kept under ``root``, if there is one."""
+    versions = _versions(spark, root)
+    return (versions[-1][0], _read(spark, versions[-1][1])) if versions else None
+
+
+def store_version(spark: SparkSession, root: str, number: int, text: str, keep: int) -> bool:
+    """Makes ``text`` the version ``number``, unless there is one; of older ones ``keep`` stay."""
+    if not _create(spark, f"{root.rstrip('/')}/{_FOLDER}/{number:020d}.json", text):
+        return False
+    for _, path in _versions(spark, root)[:-keep]:
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, False)
+    return True
+
+
 def read_manifest(spark: SparkSession, root: str) -> Manifest | None:
     """The newest version, or None for a root that no run of this kind has written."""
-    versions = _versions(spark, root)
-    if not versions:
+    newest = latest_version(spark, root)
+    if newest is None:
         return None
-    number, path = versions[-1]
-    found = json.loads(_read(spark, path))
+    number, found = newest[0], json.loads(newest[1])
     return Manifest(found["live"], [tuple(r) for r in found["retired"]], found["streams"], number)
 
 

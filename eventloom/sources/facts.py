@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from eventloom.operators.facts import merge_repos
 from eventloom.schemas import BATCH, DAY, FACTS, SOURCE_DATE, TEXT
-from eventloom.sinks.manifest import read_manifest
+from eventloom.sinks.manifest import Manifest, read_manifest
 
 
 def _all_rows(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -25,9 +25,10 @@ def _that_count(rows: DataFrame, root: str, name: str) -> DataFrame:
     return rows if manifest is None else rows.where(manifest.condition(name))
 
 
-def stored_fact(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """The stored rows that count, with their ``source_date`` and ``batch``."""
-    return _that_count(_all_rows(spark, root, name), root, name)
+def stored_fact(spark: SparkSession, root: str, name: str, manifest: Manifest | None = None) -> DataFrame:
+    """The stored rows that count, with their ``source_date`` and ``batch``; by a manifest read before, if given."""
+    rows = _all_rows(spark, root, name)
+    return _that_count(rows, root, name) if manifest is None else rows.where(manifest.condition(name))
 
 
 def read_fact(

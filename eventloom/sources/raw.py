@@ -34,14 +34,14 @@ def read_activity(
     The days become a file-name filter of one scan: other files are dropped
     when the folder is listed. No matching file gives an empty frame.
     """
-    reader = spark.read.schema(schema).option("pathGlobFilter", _day_files(first_day, last_day))
+    reader = spark.read.schema(schema).option("pathGlobFilter", day_files(first_day, last_day))
     return _with_source_date(reader.json(root))
 
 
 def landed_files(spark: SparkSession, root: str, first_day: str | None = None, last_day: str | None = None) -> list[dict]:
     """The hourly files of the days as they are now: (path, length, modified), by path. Contents are not read."""
     found = (
-        spark.read.format("binaryFile").option("pathGlobFilter", _day_files(first_day, last_day)).load(root)
+        spark.read.format("binaryFile").option("pathGlobFilter", day_files(first_day, last_day)).load(root)
         .select("path", "length", F.unix_millis("modificationTime").alias("modified"))
     )
     return sorted((row.asDict() for row in found.collect()), key=lambda file: file["path"])
@@ -54,7 +54,8 @@ def read_listed(spark: SparkSession, files: list[dict], schema: T.StructType = A
     return _with_source_date(spark.read.schema(schema).json([file["path"] for file in files]))
 
 
-def _day_files(first_day: str | None, last_day: str | None) -> str:
+def day_files(first_day: str | None, last_day: str | None) -> str:
+    """The pattern of names of the days' hourly files."""
     if last_day and not first_day:
         raise ValueError("last_day needs first_day")
     if not first_day:
