@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -158,6 +158,20 @@ def _compare(rows: Iterator[tuple]) -> Iterator[list[tuple]]:
         yield results(run)
 
 
+def _cuts_below(value: Column, cuts: list[float]) -> Column:
+    """How many of the sorted ``cuts`` are below a value: by halving, with all of them in one literal."""
+    if not cuts:
+        return F.lit(0)
+    at = F.split(F.lit(",".join(map(repr, cuts))), ",").cast("array<double>")
+    steps = [1 << i for i in reversed(range(len(cuts).bit_length()))]
+
+    def halve(low: Column, step: Column) -> Column:
+        further = F.get(at, low + step - 1) < value  # null behind the last
+        return F.when(further, low + step).otherwise(low)
+
+    return F.aggregate(F.array(*[F.lit(i) for i in steps]), F.lit(0), halve)
+
+
 def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", stretches: int | None = None) -> DataFrame:
     """Each row's fingerprint, that of its edited text, and likenesses to this and to the next document's.
 
@@ -178,12 +192,13 @@ def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     # One number per stretch, from ids alone: bounded by ``stretches``.
     shares = [i / stretches for i in range(1, stretches)]
     cuts = sorted(set(rows.select("id").approxQuantile("id", shares, 0.1 / stretches))) if shares else []
-    cut = F.lit(0)
-    stretch = F.aggregate(
-        F.array(*[F.lit(float(c)) for c in cuts]).cast("array<double>"), cut, lambda n, c: n + (F.col("id") > c).cast("int")
-    ) if cuts else cut
-    placed = rows.withColumn("stretch", F.when(F.col("id").isNull(), -1).otherwise(stretch))
     text_hash = F.coalesce(F.sha2("text", 256), F.lit(""))
+    nameless = F.lit(-1)
+    if not rows.where("id is null").isEmpty():
+        # Rows without an id come last, in the order of their texts' hashes: their stretches count down from -1.
+        share = F.coalesce(F.conv(F.substring(text_hash, 1, 4), 16, 10).cast("int"), F.lit(0)) / 65536
+        nameless = F.lit(-1) - F.floor(share * stretches).cast("int")
+    placed = rows.withColumn("stretch", F.when(F.col("id").isNull(), nameless).otherwise(_cuts_below(F.col("id"), cuts)))
     heads = (
         placed.groupBy("stretch").agg(F.max("id").alias("id"), F.count(F.lit(1)).alias("n")).orderBy(F.desc("stretch")).collect()
     )

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import re
 from html import unescape
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -37,6 +38,8 @@ _TEXTUAL = _HEADINGS | frozenset("p pre li dd dt td th blockquote figcaption cap
 _ENDS = {"li": ("li",), "dd": ("dd", "dt"), "dt": ("dd", "dt"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"),
          "option": ("option",), "tbody": ("thead", "tbody", "tr", "td", "th"), "tfoot": ("tbody", "tr", "td", "th")}
 _HOMES = frozenset("ul ol dl table body article main section div aside nav form".split())
+#: What an open paragraph is not closed across.
+_HOLDERS = frozenset("td th button object caption table".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar toolbar form".split())
 _NEVER = frozenset(
     """ad ads adv advert adverts advertisement advertising adsense adbox banner banners sponsor sponsored sponsors promo
@@ -62,6 +65,12 @@ _SHORT, _LINKED, _DOUBTED = 200, 0.4, 0.1
 _FIRM, _MAYBE, _LIKELY = 1, 2, 3  # doubts: by a sure name, by a layout name, and with an article's name too
 
 
+def _keys(tag: str) -> list[str]:
+    """A tag and the kinds that it is of."""
+    kinds = (("#block", _BLOCKS), ("#home", _HOMES), ("#holder", _HOLDERS))
+    return [tag, *[kind for kind, tags in kinds if tag in tags]]
+
+
 class _Page:
     """Elements by number, in document order: parent, tag, last number below, weight; and the blocks."""
 
@@ -74,6 +83,7 @@ class _Page:
         self.within = [False]  # an article or main element
         self.blocks: list[tuple[int, str, int]] = []  # element, text, characters in links
         self.stack = [0]
+        self.open_at: dict[str, list[int]] = {}  # places in the stack, by tag and by kind
         self._parts: list[str] = []
         self._links = 0
 
@@ -82,9 +92,9 @@ class _Page:
         if tag in _BLOCKS:
             self.flush()
             if tag not in ("tr", "td", "th", "tbody", "thead", "tfoot"):
-                self._close_to("p")
+                self._close_to("p", "#holder")
             for kind in _ENDS.get(tag, ()):
-                self._close_to(kind, _HOMES)
+                self._close_to(kind, "#home")
         up = stack[-1]
         number = len(self.parent)
         self.parent.append(up)
@@ -101,6 +111,8 @@ class _Page:
             if tag == "br":
                 self._parts.append(" ")
         else:
+            for key in _keys(tag):
+                self.open_at.setdefault(key, []).append(len(stack))
             stack.append(number)
 
     def _judge(self, tag: str, attributes: str, up: int) -> tuple[bool, int, float]:
@@ -136,24 +148,25 @@ class _Page:
     def close(self, tag: str) -> None:
         if tag in _BLOCKS:
             self.flush()
-            self._close_to(tag)
+            self._close_to(tag, "#holder" if tag == "p" else None)
         else:
-            self._close_to(tag, _BLOCKS)
-
-    def _close_to(self, tag: str, homes: frozenset[str] = frozenset()) -> None:
-        """Ends the innermost open ``tag`` and all within it, unless one of ``homes`` comes first."""
-        for depth in range(len(self.stack) - 1, 0, -1):
-            kind = self.tag[self.stack[depth]]
-            if kind == tag:
-                self._pop(depth)
-                return
-            if kind in homes or tag == "p" and kind in ("td", "th", "button", "object", "caption", "table"):
-                return
+            self._close_to(tag, "#block")
+
+    def _close_to(self, tag: str, home: str | None) -> None:
+        """Ends the innermost open ``tag`` and all within it, unless an element of the kind ``home`` stands between."""
+        places = self.open_at.get(tag)
+        if places:
+            homes = self.open_at.get(home)
+            if not homes or homes[-1] <= places[-1]:
+                self._pop(places[-1])
 
     def _pop(self, depth: int) -> None:
         number = len(self.parent) - 1
         for closed in self.stack[depth:]:
             self.last[closed] = number
+            if closed:
+                for key in _keys(self.tag[closed]):
+                    self.open_at[key].pop()
         del self.stack[depth:]
 
     def text(self, text: str) -> None:
@@ -256,9 +269,8 @@ class _Page:
             if self.doubt[part] in (_FIRM, _MAYBE)
             and (2 * length[part] < whole and (faint[part] or tagged[part]) or self.doubt[part] == _FIRM and faint[part] and length[part] < whole)
         ]
-        return "\n".join(
-            text for at, text, _ in blocks if any(a <= at <= b for a, b in spans) and not any(a <= at <= b for a, b in cut)
-        )
+        inside, without = _covered(spans, n), _covered(cut, n)
+        return "\n".join(text for at, text, _ in blocks if inside[at] and not without[at])
 
     def _more(self, at: int, top: int, score, length: list[int], links: list[int]) -> bool:
         """Whether a sibling of the best element belongs to the article."""
@@ -272,6 +284,15 @@ class _Page:
         return density < 0.5 and score(at) >= max(10.0, _TOP_SHARE * score(top))
 
 
+def _covered(spans: list[tuple[int, int]], n: int) -> list[bool]:
+    """Which of ``n`` numbers lie in any of the spans, both ends included."""
+    steps = [0] * (n + 1)
+    for first, last in spans:
+        steps[first] += 1
+        steps[last + 1] -= 1
+    return [depth > 0 for depth in accumulate(steps)]
+
+
 def extract_text(html: str | None) -> str:
     """The article's blocks in page order, joined by a line feed; see ``extract_main_text``."""
     html = html or ""

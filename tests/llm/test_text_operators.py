@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -174,6 +175,19 @@ def test_broken_pages_do_not_fail(page):
     assert html_extract.extract_text(page) in ("", "&am", "<")  # a lone < is text
 
 
+@pytest.mark.parametrize("page", [
+    "<div>" * 100_000,
+    "<p><button>" + "<div>" * 100_000,
+    "<table><td>" + "<section>" * 50_000 + "<li>" * 50_000,
+    "<b>" * 100_000 + "</i>" * 100_000,
+    "<p>A sentence of the text, which is long enough, and has commas.<div class=comment>no</div>" * 20_000,
+])
+def test_very_deep_and_very_long_pages(page):
+    start = time.perf_counter()
+    html_extract.extract_text(page)
+    assert time.perf_counter() - start < 10
+
+
 def test_cut_off_page():
     assert html_extract.extract_text(PAGE[: PAGE.index("</article>") - 10]).startswith("Title & more\nFirst paragraph")
 
@@ -235,11 +249,19 @@ def test_next_documents(spark, stretches):
     rng = random.Random(5)
     docs = [(i * 7 - 40, " ".join(rng.choice(["ab", "cd\n", "é漢", "x"]) for _ in range(rng.randint(0, 60)))) for i in range(120)]
     docs += [(3, "tie b"), (3, "tie a"), (3, "tie a"), (1000, None), (1001, ""), (None, "no id"), (None, None), (5, "long " * 20_000)]
+    docs += [(None, f"no id {i}") for i in range(40)]
     frame = spark.createDataFrame(docs, "doc_id long, text string").withColumn("stretch", F.lit("clash")).repartition(5)
     rows = fingerprint.compare_with_next(frame, stretches=stretches).collect()
     assert sorted((tuple(r) for r in rows), key=str) == plain_next(docs)
 
 
+def test_the_cuts_are_one_literal_in_the_plan(spark):
+    cuts = [i + 0.5 for i in range(20_000)]
+    found = spark.range(0, 30_000, 7).withColumn("s", fingerprint._cuts_below(F.col("id"), cuts))
+    assert found.where("s <> least(id, 20000)").count() == 0
+    assert "split(" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_few_documents(spark):
     for docs in ([], [(1, "alone")], [(None, None)]):
         frame = spark.createDataFrame(docs, "doc_id long, text string")
