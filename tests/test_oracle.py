@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import collections
+import datetime as dt
 
 import duckdb
 import pytest
@@ -65,5 +66,26 @@ def test_matches_oracle(spark, name, sf):
         assert rows == EXPECTED_ROWS[sf][name]
 
 
+def test_missing_hours_go_by_events_of_every_type(spark, tmp_path):
+    days = [dt.date(2024, 1, d) for d in (1, 2, 3)]
+    untimed = [(11, "2024-01-02 03:00:00", "view"), (12, "2024-01-09 03:00:00", "error")]
+    timed = [(1, "2024-01-01 05:10:00", "view"), (7, "2024-01-01 23:59:59", "view"),
+             (2, "2024-01-02 09:00:00", "error"), (3, "2024-01-02 10:59:59", "signup"),
+             (4, "2024-01-03 00:00:00", "click"), (5, "2024-01-03 01:30:00", "purchase"),
+             (6, "2024-01-03 02:00:00", None), (8, "2024-01-03 02:30:00", "error")]
+    seen = {(dt.datetime.fromisoformat(ts).date(), dt.datetime.fromisoformat(ts).hour) for _, ts, _ in timed}
+    want = collections.Counter((d, f"{d}-{h}.json.gz", h) for d in days for h in range(24) if (d, h) not in seen)
+
+    con = duckdb.connect()
+    con.execute("CREATE TABLE events (event_id BIGINT, ts TIMESTAMP, user_id BIGINT, event_type VARCHAR, "
+                "value DOUBLE, props VARCHAR)")
+    con.executemany("INSERT INTO events VALUES (?, ?, 1, ?, NULL, NULL)", timed + untimed)
+    con.execute(f"COPY events TO '{tmp_path}/events.parquet' (FORMAT parquet)")
+    assert len(want) == 72 - 7
+    assert spark_rows(QUERIES["missing_hours"](spark, str(tmp_path)))[1] == want
+    select = f"SELECT date, file_name, hour FROM ({ORACLE['missing_hours']})"
+    assert collections.Counter(con.execute(select).fetchall()) == want
+
+
 def test_entry(spark):
     assert entry(spark).count() == 34
